@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word: a run of characters other than the six ASCII white-space ones.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,3 +70,29 @@ class WordHashes(dict):
     def trim(self) -> None:
         if len(self) > MEMO_WORDS:
             self.clear()
+
+
+def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], new: list[T.StructField], only: list[str] | None = None) -> DataFrame:
+    """docs with the columns that a kernel computes from each Arrow batch.
+
+    make_kernel runs once a task; its kernel returns one array for each field of ``new``. Columns of docs named like a
+    new one are replaced. ``only`` limits what passes through (and what the scan reads).
+    """
+    bounded_batches(docs.sparkSession)
+    names = [f.name for f in new]
+    read = docs if only is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(only)])
+    keep = [c for c in read.columns if c not in names]
+    schema = T.StructType([read.schema[c] for c in keep] + new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel = make_kernel()
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + kernel(batch), names=keep + names)
+
+    return read.mapInArrow(run, schema)
+
+
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The bytes of a string column."""
+    return column.cast(pa.binary()).to_pylist()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lilt.llm import line_dedup, mixing
+from lilt.llm import byte_bpe, language, line_dedup, mixing, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,20 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids in the ORC files."""
+    path = token_files.scratch(spark)
+    token_files.write(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.layout(spark, path)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's byte-level BPE ids and of what they decode to."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of each document without the lines that many documents share."""
     out = line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -28,7 +43,17 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("lines.n_lines").alias("n_lines"), F.col("lines.n_dropped").alias("n_dropped"), kept.alias("kept_sha256"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, by a model of this table's labelled rows."""
+    docs = _documents(spark, sf_dir)
+    out = language.identify(docs, language.train(docs), only=["doc_id", "text"])
+    return out.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_token_files": op3_token_files,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
+    "op10_language": op10_language,
 }
