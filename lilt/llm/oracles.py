@@ -2,6 +2,22 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+v AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS g
+  FROM d WHERE len(w) >= 13),
+m AS (SELECT md5(g) AS h, min(doc_id) AS first_doc FROM v GROUP BY 1),
+c AS (SELECT DISTINCT doc_id, i + j AS p FROM v JOIN m ON md5(v.g) = m.h, range(13) AS r(j) WHERE doc_id > first_doc),
+x AS (SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+k AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (c.p IS NOT NULL) AS n_removed,
+         sha256(coalesce(string_agg(word, ' ' ORDER BY p) FILTER (c.p IS NULL), '')) AS kept_sha256
+  FROM x LEFT JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 OP2 = r"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
@@ -43,6 +59,7 @@ FROM f GROUP BY doc_id
 """
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
     "op9_line_dedup": OP9,
 }

@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lilt.llm import byte_bpe, language, line_dedup, mixing, token_files
+from lilt.llm import byte_bpe, language, line_dedup, mixing, substring_dedup, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each document without the passages that an earlier one holds."""
+    out = substring_dedup.dedup_substrings(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document by the mix of all sources."""
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "text", "source"))
@@ -51,6 +57,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op7_byte_bpe": op7_byte_bpe,
