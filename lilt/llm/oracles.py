@@ -43,6 +43,26 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM r JOIN s USING (k)
 """
 
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g
+  FROM d),
+n AS (SELECT doc_id, len(g) AS n_shingles FROM s),
+e AS (SELECT doc_id, md5(unnest(g)) AS h FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * o >= 90 * (x.n_shingles + y.n_shingles - o)),
+t AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, t.b FROM r JOIN t ON r.reached = t.a)
+SELECT n.doc_id, n_shingles, min(reached) AS component_id FROM n JOIN r USING (doc_id) GROUP BY 1, 2
+"""
+
 OP9 = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
@@ -61,5 +81,6 @@ FROM f GROUP BY doc_id
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
+    "op4_jaccard_join": OP4,
     "op9_line_dedup": OP9,
 }
