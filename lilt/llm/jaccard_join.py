@@ -32,6 +32,8 @@ from lilt.llm.components import components
 
 #: Parts beyond those that differences can touch. A set with more empty parts than this lists its empty ones as well.
 SPARE = 2
+#: Low bits of a key: it links without verification; its set is the larger one of the sizes it is for; the sizes are equal.
+SURE, LARGER, EQUAL = 1, 2, 4
 #: Sets in a tile, hashes in a bucket, columns of a matrix at a time.
 TILE, BUCKET_KEYS, COLUMNS = 1024, 2_000_000, 4096
 
@@ -104,7 +106,10 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def light_keys(hashes: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
-    """Keys (odd) of the subsets that a light set shares with any light set linked to it."""
+    """Keys of the subsets that a light set shares with any light set linked to it.
+
+    A key is for two sizes. Sets of both sizes that share it are linked; several of the larger size alone are not.
+    """
     n, out = len(hashes), []
     mixed = B.spread(hashes)
     total = mixed.sum(dtype=np.uint64)
@@ -114,19 +119,20 @@ def light_keys(hashes: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
             continue
         gone = np.array([mixed[list(c)].sum(dtype=np.uint64) for c in combinations(range(n), n - take)], np.uint64)
         label = B.spread(np.array([min(n, other) << 32 | max(n, other)], np.uint64))
-        out.append(B.spread(total - gone + label) | np.uint64(1))
+        role = SURE | (EQUAL if other == n else LARGER if other < n else 0)
+        out.append(B.spread(total - gone + label) & ~np.uint64(7) | np.uint64(role))
     return out
 
 
 def list_keys(sets: list[np.ndarray], level: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (even) of the parts of some sets at a level, and which set each is of."""
+    """Keys of the parts of some sets at a level, and which set each is of."""
     lengths = [len(s) for s in sets]
     every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
     place = owner * parts + (B.spread(every ^ np.uint64(B.SPREAD[1])) >> np.uint64(11)).astype(np.int64) % parts
     sums, counts = np.zeros(len(sets) * parts, np.uint64), np.bincount(place, minlength=len(sets) * parts)
     np.add.at(sums, place, B.spread(every))
     label = B.spread((np.uint64(level) << np.uint64(32)) + np.arange(parts, dtype=np.uint64))
-    keys = B.spread(sums + np.tile(label, len(sets))) & ~np.uint64(1)
+    keys = B.spread(sums + np.tile(label, len(sets))) & ~np.uint64(7)
     many_empty = (counts.reshape(-1, parts) == 0).sum(axis=1) > SPARE
     used = (counts > 0) | np.repeat(many_empty, parts)
     return keys[used], np.repeat(np.arange(len(sets)), parts)[used]
@@ -196,14 +202,16 @@ def _scan(table: pa.Table) -> pa.Table:
     """For one bucket: the sets of each list of several, with the list's smallest set."""
     keys = np.concatenate([B.unpack_sorted(x.as_py()) for x in table.column("keys")])
     sets = np.concatenate([B.unpack_planes(x.as_py()).view(np.int64) for x in table.column("sets")])
+    larger, keys = (keys & np.uint64(LARGER)) > 0, keys & ~np.uint64(LARGER)
     order = np.lexsort((sets, keys))
-    keys, sets = keys[order], sets[order]
+    keys, sets, larger = keys[order], sets[order], larger[order]
     new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])])
-    keys, sets = keys[new], sets[new]
+    keys, sets, larger = keys[new], sets[new], larger[new]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    length = np.diff(np.append(first, len(keys)))
-    leader, shared = np.repeat(sets[first], length), np.repeat(length > 1, length)
-    rows = np.unique(np.stack([leader[shared], sets[shared], (keys[shared] & np.uint64(1)).astype(np.int64)], axis=1), axis=0)
+    length, larger = np.diff(np.append(first, len(keys))), np.add.reduceat(larger.astype(np.int64), first)
+    one_sided = ((keys[first] & np.uint64(SURE | EQUAL)) == SURE) & ((larger == 0) | (larger == length))
+    leader, shared = np.repeat(sets[first], length), np.repeat((length > 1) & ~one_sided, length)
+    rows = np.unique(np.stack([leader[shared], sets[shared], (keys[shared] & np.uint64(SURE)).astype(np.int64)], axis=1), axis=0)
     return pa.Table.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2] == 1)], schema=_MEMBERS)
 
 
