@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lilt.llm import byte_bpe, jaccard_join, language, line_dedup, mixing, substring_dedup, token_files
+from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_documents(spark, sf_dir), n=3, percent=90)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license labels of each document."""
+    return licenses.scan_licenses(_documents(spark, sf_dir), only=["doc_id", "text"]).drop("text", "detections")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's byte-level BPE ids and of what they decode to."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_license_scan": op6_license_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
