@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files
+from lilt.llm import byte_bpe, flac, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text kept as a FLAC stream, and of what is read back from it."""
+    out = flac.media_column(_documents(spark, sf_dir), only=["doc_id", "text"])
+    return out.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of each document without the lines that many documents share."""
     out = line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -73,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op6_license_scan": op6_license_scan,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_flac_media": op8_flac_media,
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
 }
