@@ -63,6 +63,17 @@ r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, t.b FROM r
 SELECT n.doc_id, n_shingles, min(reached) AS component_id FROM n JOIN r USING (doc_id) GROUP BY 1, 2
 """
 
+OP5 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
 OP9 = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
@@ -82,5 +93,6 @@ ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
     "op4_jaccard_join": OP4,
+    "op5_exact_topk": OP5,
     "op9_line_dedup": OP9,
 }

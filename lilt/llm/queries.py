@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lilt.llm import byte_bpe, flac, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files
+from lilt.llm import byte_bpe, flac, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files, topk_search
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_documents(spark, sf_dir), n=3, percent=90)
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for each vector whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and license labels of each document."""
     return licenses.scan_licenses(_documents(spark, sf_dir), only=["doc_id", "text"]).drop("text", "detections")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_exact_topk": op5_exact_topk,
     "op6_license_scan": op6_license_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_flac_media": op8_flac_media,
