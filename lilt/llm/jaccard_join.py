@@ -6,7 +6,8 @@ Documents with the same set are one set from the start. Then:
   an overlap must reach; two light sets that share such a subset are linked, with nothing left to verify.
 * Heavy sets go into inverted lists and each list is scanned for links. Lists of single shingles would hold a third
   of all documents for a common passage, so a list stands for a whole part of a set: shingles are dealt by hash to one part
-  more than two linked sets can differ in (plus SPARE parts), so linked sets agree on a part that isn't empty.
+  more than two linked sets can differ in, plus spare ones for parts that stay empty, so linked sets agree on a part
+  that isn't empty.
 * The boundary is the size up to which enumerating costs less than the lists and verification of a set; light sets
   that may have heavy partners enter the lists as well.
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import comb, exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from lilt.llm import blocks as B
 from lilt.llm.common import WordHashes, bounded_batches, cut, utf8
 from lilt.llm.components import components
 
-#: Parts beyond those that differences can touch. A set with more empty parts than this lists its empty ones as well.
-SPARE = 2
+#: Share of sets that may have more empty parts than there are spare ones; such a set lists its empty parts as well.
+CROWDED = 1e-7
 #: Low bits of a key: it links without verification; its set is the larger one of the sizes it is for; the sizes are equal.
 SURE, LARGER, EQUAL = 1, 2, 4
 #: Sets in a tile, hashes in a bucket, columns of a matrix at a time.
@@ -45,6 +46,7 @@ class Sizes:
         self.percent = percent
         self.starts = [1]
         self.boundary = 0
+        self.dealt: dict[int, tuple[int, int]] = {}
         size = 1
         while self.light_cost(size) <= self.heavy_cost(size):
             self.boundary = size
@@ -64,13 +66,23 @@ class Sizes:
             self.starts.append(100 * self.starts[-1] // self.percent + 1)
         return int(np.searchsorted(self.starts, size, side="right")) - 1
 
-    def parts(self, level: int) -> int:
-        """Parts of the sets listed at a level, which serves pairs whose smaller set is of that class."""
-        while len(self.starts) <= level + 1:
-            self.starts.append(100 * self.starts[-1] // self.percent + 1)
-        small = self.starts[level + 1] - 1
-        large = 100 * small // self.percent
-        return (small + large) * (100 - self.percent) // (100 + self.percent) + 1 + SPARE
+    def parts(self, level: int) -> tuple[int, int]:
+        """Parts of the sets listed at a level, which serves pairs whose smaller set is of that class, and the spare ones.
+
+        Linked sets of sizes a and b differ in at most (a + b) * (100 - percent) / (100 + percent) shingles. Spare parts are
+        added until a Poisson number of empty parts exceeds them for a share CROWDED of the smallest sets, at most as many as
+        there are others.
+        """
+        if level not in self.dealt:
+            while len(self.starts) <= level + 1:
+                self.starts.append(100 * self.starts[-1] // self.percent + 1)
+            small = self.starts[level + 1] - 1
+            large = 100 * small // self.percent
+            needed, spare = (small + large) * (100 - self.percent) // (100 + self.percent) + 1, 1
+            while spare < needed and poisson_tail((needed + spare) * exp(-self.starts[level] / (needed + spare)), spare) > CROWDED:
+                spare += max(1, spare // 8)
+            self.dealt[level] = needed + spare, spare
+        return self.dealt[level]
 
     def levels(self, size: int) -> list[int]:
         """Levels at which a set is listed: its own, for larger partners, and the one below, for smaller ones."""
@@ -81,7 +93,7 @@ class Sizes:
         return sum(comb(size, self.overlap(size, other)) for other in self.partners(size) if self.overlap(size, other) < max(size, other))
 
     def heavy_cost(self, size: int) -> int:
-        return sum(map(self.parts, self.levels(size))) + size
+        return sum(self.parts(level)[0] for level in self.levels(size)) + size
 
     def is_light(self, size: int) -> bool:
         return size <= self.boundary
@@ -90,6 +102,13 @@ class Sizes:
         return 100 * size // self.percent > self.boundary
 
 
+def poisson_tail(mean: float, most: int) -> float:
+    """Probability that a Poisson number exceeds most, at most 1."""
+    if most <= mean:
+        return 1.0
+    return min(1.0, exp((most + 1) * log(mean) - mean - lgamma(most + 2)) * (most + 2) / (most + 2 - mean)) if mean > 0 else 0.0
+
+
 def shingles(text: bytes | None, n: int, memo: WordHashes) -> np.ndarray:
     """Ascending distinct hashes of a text's n-word shingles; of the whole sequence if it has fewer words."""
     words = text.lower().split() if text else []
@@ -124,7 +143,7 @@ def light_keys(hashes: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
     return out
 
 
-def list_keys(sets: list[np.ndarray], level: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+def list_keys(sets: list[np.ndarray], level: int, parts: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the parts of some sets at a level, and which set each is of."""
     lengths = [len(s) for s in sets]
     every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
@@ -133,7 +152,7 @@ def list_keys(sets: list[np.ndarray], level: int, parts: int) -> tuple[np.ndarra
     np.add.at(sums, place, B.spread(every))
     label = B.spread((np.uint64(level) << np.uint64(32)) + np.arange(parts, dtype=np.uint64))
     keys = B.spread(sums + np.tile(label, len(sets))) & ~np.uint64(7)
-    many_empty = (counts.reshape(-1, parts) == 0).sum(axis=1) > SPARE
+    many_empty = (counts.reshape(-1, parts) == 0).sum(axis=1) > spare
     used = (counts > 0) | np.repeat(many_empty, parts)
     return keys[used], np.repeat(np.arange(len(sets)), parts)[used]
 
@@ -176,7 +195,7 @@ def _emit(n: int, sizes: Sizes, bits: int):
             for level, ids in listed.items():
                 for at in range(0, len(ids), 256):
                     part = ids[at : at + 256]
-                    k, owner = list_keys([found[i] for i in part], level, sizes.parts(level))
+                    k, owner = list_keys([found[i] for i in part], level, *sizes.parts(level))
                     keys.append(k)
                     owners.append(np.array(part, np.int64)[owner])
             if not keys:
