@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words remembered by a worker before its memo is emptied.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

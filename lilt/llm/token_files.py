@@ -8,7 +8,10 @@ look-up of a document skips the others by these.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from uuid import uuid4
 
 import numpy as np
@@ -19,38 +22,78 @@ from pyspark.sql import types as T
 
 from lilt.llm.common import append_columns, checkpoint_dir, partitions, utf8
 
-#: Words remembered by a worker before its memo is emptied, and the longest one remembered.
-MEMO_WORDS, MEMO_BYTES = 400_000, 64
+#: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered, documents at a time.
+MEMO_WORDS, MEMO_PIECES, MEMO_BYTES, DOCS = 250_000, 150_000, 64, 64
+#: Fixed value: the splitting pattern of the tokenizer's file, for words of printable ASCII in lower case.
+PIECES = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+
+
+class Generations:
+    """A memo of two generations: what the younger one hasn't seen but the older one has moves over."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old = most, {}, {}
+
+    def lacking(self, keys: set[bytes]) -> list[bytes]:
+        """The keys in neither generation; the others are in the younger one afterwards."""
+        old, out = self.old, []
+        for key in keys.difference(self.young):
+            if (value := old.get(key)) is None:
+                out.append(key)
+            else:
+                self.young[key] = value
+        return out
+
+    def trim(self, long: list[bytes]) -> None:
+        """Forgets long keys, and the older generation once the younger one is full."""
+        for key in long:
+            self.young.pop(key, None)
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
 
 
 class WordTokenizer:
-    """A tokenizer of the tokenizers library that drops white space, asked once for each new word.
+    """A tokenizer of the tokenizers library that drops white space, asked once for each new word or piece of a word.
 
     Its splitting rule never crosses white space and its normaliser works character by character, so a text's ids are
-    its words' ids in order. Strings of special tokens in a text are ordinary text.
+    its words' ids in order; words of printable ASCII are split by the same rule here, so that a word's variants in case
+    and punctuation share pieces. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the worker is one of many on its machine
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[bytes, bytes] = {}
+        self.words, self.pieces = Generations(MEMO_WORDS), Generations(MEMO_PIECES)
+        self.plain, self.split = re.compile(rb"[\x21-\x7e]+").fullmatch, re.compile(PIECES).findall
+
+    def ask(self, keys: list[bytes], memo: dict[bytes, bytes]) -> None:
+        """Puts the library's packed ids of words or pieces into a memo."""
+        for at in range(0, len(keys), 2000):
+            part = keys[at : at + 2000]
+            found = self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
+            for key, e in zip(part, found, strict=True):
+                memo[key] = array("i", e.ids).tobytes()
 
     def encode_words(self, texts: list[list[bytes]]) -> list[bytes]:
         """Packed little-endian 32-bit ids of each list of words."""
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = list({w for words in texts for w in words if w not in memo})
-        long = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                (memo if len(w) <= MEMO_BYTES else long)[w] = np.array(e.ids, "<i4").tobytes()
-        look = memo.__getitem__ if not long else lambda w: memo.get(w) or long.get(w, b"")
-        return [b"".join(map(look, words)) for words in texts]
+        out: list[bytes] = []
+        for at in range(0, len(texts), DOCS):
+            part = texts[at : at + DOCS]
+            new = self.words.lacking(set().union(*part))
+            split = {w: self.split(w.lower()) for w in new if self.plain(w)}
+            pieces = self.pieces.lacking({p for own in split.values() for p in own})
+            self.ask(pieces, self.pieces.young)
+            look, words = self.pieces.young.__getitem__, self.words.young
+            for w, own in split.items():
+                words[w] = b"".join(map(look, own))
+            self.ask([w for w in new if w not in split], words)
+            out += [b"".join(map(words.__getitem__, own)) for own in part]
+            self.words.trim([w for w in new if len(w) > MEMO_BYTES])
+            self.pieces.trim([p for p in pieces if len(p) > MEMO_BYTES])
+        return out
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -68,7 +111,9 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
         tokenizer, end, rows = _TOKENIZERS[tokenizer_path], np.array([end_id], "<i4").tobytes(), [0]
 
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-            packed = [x + end for x in tokenizer.encode_words([t.split() if t else [] for t in utf8(batch.column(text_col))])]
+            texts, packed = utf8(batch.column(text_col)), []
+            for at in range(0, len(texts), DOCS):
+                packed += [x + end for x in tokenizer.encode_words([t.split() if t else [] for t in texts[at : at + DOCS]])]
             ends = np.cumsum([0] + [len(x) // 4 for x in packed]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
             first, rows[0] = rows[0], rows[0] + len(packed)
