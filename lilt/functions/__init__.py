@@ -1 +1 @@
-
+"""Column functions and Python kernels."""

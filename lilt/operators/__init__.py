@@ -1 +1 @@
-
+"""Relational and frame-sequence operators."""

@@ -1 +1 @@
-
+"""Whole jobs: labelling and text enrichment."""

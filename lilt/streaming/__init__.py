@@ -1 +1 @@
-
+"""Incremental labelling."""
