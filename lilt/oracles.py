@@ -239,7 +239,7 @@ ORACLES: dict[str, str] = {
         FROM x GROUP BY conv_id, turn""",
     "nonlatin_guard": r"""SELECT doc_id AS id, regexp_matches(CASE WHEN doc_id % 5 = 0 THEN text || ' 漢字' WHEN doc_id % 5 = 1 THEN text || ' Ж' ELSE text END,
         '[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{ac00}-\x{d7af}]') AS non_latin FROM documents""",
-    "arpabet_filter": "SELECT doc_id AS id, len(list_filter(regexp_split_to_array(upper(text), '[ ,.\n]+'), lambda x: regexp_matches(x, '^[A-Z]{1,3}[0-2]?$')))::INTEGER AS n_phonemes FROM documents",
+    "arpabet_filter": "SELECT doc_id AS id, len(list_filter(regexp_split_to_array(translate(text, 'aehnrst', 'AEHNRST'), '[ ,.\n]+'), lambda x: regexp_matches(x, '^[A-Z]{1,3}[0-2]?$')))::INTEGER AS n_phonemes FROM documents",
     "error_split": f"WITH {JOBS} SELECT audio_path, error FROM j WHERE error IS NOT NULL",
     "error_top5": f"WITH {JOBS} SELECT error AS reason, count(*) AS n FROM j WHERE error IS NOT NULL GROUP BY error ORDER BY n DESC, min(event_id) LIMIT 5",
     "limit_first_n": f"WITH {JOBS} SELECT audio_path FROM j ORDER BY event_id LIMIT 100",

@@ -305,7 +305,7 @@ def nonlatin_guard(spark, sf_dir):
 
 @query
 def arpabet_filter(spark, sf_dir):
-    tokens = F.split(F.upper("transcription"), "[ ,.\n]+")
+    tokens = F.split(F.translate("transcription", "aehnrst", "AEHNRST"), "[ ,.\n]+")
     return V.utterances(spark, sf_dir).select("id", F.size(scalar.arpabet(tokens)).alias("n_phonemes"))
 
 
