@@ -72,6 +72,14 @@ class WordHashes(dict):
             self.clear()
 
 
+_HASHES = WordHashes()
+
+
+def word_memo() -> WordHashes:
+    """The worker's memo of word hashes."""
+    return _HASHES
+
+
 def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], new: list[T.StructField], only: list[str] | None = None) -> DataFrame:
     """docs with the columns that a kernel computes from each Arrow batch.
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lilt.llm import blocks as B
-from lilt.llm.common import WordHashes, bounded_batches, cut, utf8
+from lilt.llm.common import WordHashes, bounded_batches, cut, utf8, word_memo
 from lilt.llm.components import components
 
 #: Share of sets that may have more empty parts than there are spare ones; such a set lists its empty parts as well.
@@ -159,7 +159,7 @@ def list_keys(sets: list[np.ndarray], level: int, parts: int, spare: int) -> tup
 
 def _describe(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo = word_memo()
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
@@ -173,7 +173,7 @@ _KEYS = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("sets", pa.bi
 
 def _emit(n: int, sizes: Sizes, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo = word_memo()
         for batch in batches:
             found: dict[int, np.ndarray] = {}
             for t in utf8(batch.column(1)):
@@ -236,7 +236,7 @@ def _scan(table: pa.Table) -> pa.Table:
 
 def _load(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo = word_memo()
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()

@@ -1,7 +1,7 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
-A document is the mean of the embeddings of all its subwords (1- to 3-grams of each word and the word itself, hashed to a
-fixed number of buckets); a linear layer and a softmax give a language. Embeddings and layer are trained by stochastic
+A document is the mean of the embeddings of all its subwords (one to four bytes of each word and the word itself, hashed to
+a fixed number of buckets); a linear layer and a softmax give a language. Embeddings and layer are trained by stochastic
 gradient descent in numpy on a bounded sample of labelled rows. A part of the sample is held back to set the softmax
 temperature and the confidence below which a document is rejected.
 
@@ -11,7 +11,9 @@ document's logits is remembered by the worker.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,17 +26,31 @@ from lilt.llm.common import append_columns, bounded_batches
 
 #: Predicted for a text without a letter.
 UNDETERMINED = "und"
-MEMO_WORDS = 400_000
+#: Words remembered by a worker before its memo is emptied, documents looked at together.
+MEMO_WORDS, DOCS = 400_000, 64
 
 
-def subwords(word: str, buckets: int) -> list[int]:
-    """Buckets of a word's subwords; only its letters count, in lower case. Empty without a letter."""
-    letters = "".join(filter(str.isalpha, word)).lower()
-    if not letters:
-        return []
-    bounded = f"<{letters}>"
-    grams = [bounded[i : i + n] for n in (1, 2, 3) for i in range(len(bounded) - n + 1)][1:]
-    return [zlib.crc32(g.encode(errors="replace")) % buckets for g in grams + [bounded]]
+def letters_of(word: str) -> bytes:
+    """A word's letters in lower case, as UTF-8; empty without a letter."""
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).lower().encode(errors="replace")
+
+
+def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all subwords of some words, none empty, and which word each is of.
+
+    Subwords are the runs of one to four bytes of a word between marks, and the whole word.
+    """
+    text = np.frombuffer(b"".join(b"<%b>" % w for w in words), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    found, owners = [np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets], [np.arange(len(words))]
+    code = np.zeros(len(text), np.uint64)
+    for n in range(1, 5):
+        code = (code[: len(text) - n + 1] << np.uint64(8)) | text[n - 1 :]
+        inside = owner[: len(code)] == owner[n - 1 :]
+        mixed = (code[inside] + np.uint64(n << 40)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+        found.append((mixed % np.uint64(buckets)).astype(np.int64))
+        owners.append(owner[: len(code)][inside])
+    return np.concatenate(found), np.concatenate(owners)
 
 
 @dataclass(frozen=True)
@@ -53,35 +69,58 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
-class WordLogits(dict):
-    """word -> row of a growing table of summed logits and subword counts."""
+class WordLogits:
+    """word -> row of a growing table of summed logits and subword counts; words with the same letters share a row."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__()
         self.model = model
         self.empty()
 
     def empty(self) -> None:
-        self.clear()
+        self.memo: dict[str, int] = {}
+        self.rows: dict[bytes, int] = {b"": 0}
         self.table = np.zeros((4096, len(self.model.languages) + 1))
 
-    def __missing__(self, word: str) -> int:
-        row = self[word] = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        if found := subwords(word, len(self.model.logits)):
-            self.table[row, :-1] = self.model.logits[found].sum(axis=0)
-            self.table[row, -1] = len(found)
-        return row
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Summed logits and subword count of a whole text."""
-        if not text or not (rows := list(map(self.__getitem__, text.split()))):
-            return np.zeros(self.table.shape[1])
-        total = self.table[rows].sum(axis=0)
-        if len(self) > MEMO_WORDS:
-            self.empty()
-        return total
+    def learn(self, words: list[str]) -> None:
+        """Adds rows for the letters of new words."""
+        letters = list(map(letters_of, words))
+        new = list({x for x in letters if x not in self.rows})
+        if new:
+            first, k = len(self.rows), len(self.model.languages)
+            self.rows.update(zip(new, range(first, first + len(new)), strict=True))
+            while len(self.table) < len(self.rows):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            found, owner = subwords(new, len(self.model.logits))
+            part = self.table[first : first + len(new)]
+            for c in range(k):
+                part[:, c] = np.bincount(owner, self.model.logits[found, c], len(new))
+            part[:, k] = np.bincount(owner, minlength=len(new))
+        self.memo.update(zip(words, map(self.rows.__getitem__, letters), strict=True))
+
+    def of(self, texts: list[str | None]) -> np.ndarray:
+        """Summed logits and subword count of each whole text, in rows."""
+        out = np.zeros((len(texts), self.table.shape[1]))
+        for at in range(0, len(texts), DOCS):
+            split = [t.split() if t else [] for t in texts[at : at + DOCS]]
+            self.learn(list(set().union(*split).difference(self.memo)))
+            for i, words in enumerate(split):
+                if words:
+                    out[at + i] = self.table[list(map(self.memo.__getitem__, words))].sum(axis=0)
+            if len(self.memo) > MEMO_WORDS:
+                self.empty()
+        return out
+
+
+_WORDS: dict[bytes, WordLogits] = {}
+
+
+def word_logits(model: Model) -> WordLogits:
+    """The worker's memo for a model; one model at a time."""
+    key = hashlib.sha256(model.logits.tobytes()).digest()
+    if key not in _WORDS:
+        _WORDS.clear()
+        _WORDS[key] = WordLogits(model)
+    return _WORDS[key]
 
 
 def _features(buckets: int):
@@ -89,16 +128,13 @@ def _features(buckets: int):
 
     def make():
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-            packed, memo = [], {}
+            packed = []
             for text in batch.column("text").to_pylist():
-                counts = np.zeros(buckets, np.int64)
-                for word in (text or "").split():
-                    if (found := memo.get(word)) is None:
-                        if len(memo) > MEMO_WORDS:
-                            memo.clear()
-                        found = memo[word] = subwords(word, buckets)
-                    for b in found:
-                        counts[b] += 1
+                counts, words = np.zeros(buckets, np.int64), Counter((text or "").split())
+                letters = [(x, n) for w, n in words.items() if (x := letters_of(w))]
+                if letters:
+                    found, owner = subwords([x for x, _ in letters], buckets)
+                    counts += np.bincount(found, np.array([n for _, n in letters])[owner], buckets).astype(np.int64)
                 at = np.flatnonzero(counts)
                 packed.append(np.concatenate([at, counts[at]]).astype("<i8").tobytes())
             return [pa.array(packed, pa.binary())]
@@ -204,10 +240,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", only: list[s
     bounded_batches(docs.sparkSession)
 
     def make():
-        words = WordLogits(model)
+        words = word_logits(model)
 
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-            totals = np.stack([words.of(t) for t in batch.column(text_col).to_pylist()])
+            totals = words.of(batch.column(text_col).to_pylist())
             p = model.probabilities(totals[:, :-1], totals[:, -1])
             known = totals[:, -1] > 0
             top = p.argmax(axis=1)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lilt.llm import blocks as B
-from lilt.llm.common import WordHashes, bounded_batches, cut
+from lilt.llm.common import WordHashes, bounded_batches, cut, word_memo
 
 #: Distinct hashes a bucket is planned for.
 BUCKET_HASHES = 4_000_000
@@ -64,7 +64,7 @@ def _bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def _send(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo = word_memo()
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("docs"), strict=True):
                 w = BlockWindows(packed.as_py(), window, memo)
@@ -107,7 +107,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 def _apply(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo = word_memo()
         for batch in batches:
             for packed, answers in zip(batch.column("docs"), batch.column("answers").to_pylist(), strict=True):
                 w = BlockWindows(packed.as_py(), window, memo)
