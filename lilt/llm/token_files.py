@@ -16,16 +16,29 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lilt.llm.common import append_columns, checkpoint_dir, partitions, utf8
+from lilt.llm.common import append_columns, checkpoint_dir, partitions
 
-#: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered, documents at a time.
-MEMO_WORDS, MEMO_PIECES, MEMO_BYTES, DOCS = 250_000, 150_000, 64, 64
-#: Fixed value: the splitting pattern of the tokenizer's file, for words of printable ASCII in lower case.
-PIECES = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+#: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered.
+MEMO_WORDS, MEMO_PIECES, MEMO_BYTES = 450_000, 250_000, 64
+#: Fixed value: the splitting pattern of the tokenizer's file.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Printable ASCII and Latin letters, for which NFC is the identity and lower case goes character by character.
+PLAIN = "[!-~¡-įı-ſ]+"
+#: An ASCII letter and the ASCII character after it, if that is no letter and no white space.
+AFTER_LETTER = r"([a-z])([!-@\[-`{-~])"
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = (chr(256 + i) for i in range(256))
+    return [chr(b) if b in shown else next(other) for b in range(256)]
 
 
 class Generations:
@@ -34,17 +47,18 @@ class Generations:
     def __init__(self, most: int) -> None:
         self.most, self.young, self.old = most, {}, {}
 
-    def lacking(self, keys: set[bytes]) -> list[bytes]:
+    def lacking(self, keys: set) -> list:
         """The keys in neither generation; the others are in the younger one afterwards."""
-        old, out = self.old, []
-        for key in keys.difference(self.young):
-            if (value := old.get(key)) is None:
-                out.append(key)
-            else:
-                self.young[key] = value
+        old, young, out = self.old, self.young, []
+        for key in keys:
+            if key not in young:
+                if (value := old.get(key)) is None:
+                    out.append(key)
+                else:
+                    young[key] = value
         return out
 
-    def trim(self, long: list[bytes]) -> None:
+    def trim(self, long: list) -> None:
         """Forgets long keys, and the older generation once the younger one is full."""
         for key in long:
             self.young.pop(key, None)
@@ -56,8 +70,9 @@ class WordTokenizer:
     """A tokenizer of the tokenizers library that drops white space, asked once for each new word or piece of a word.
 
     Its splitting rule never crosses white space and its normaliser works character by character, so a text's ids are
-    its words' ids in order; words of printable ASCII are split by the same rule here, so that a word's variants in case
-    and punctuation share pieces. Strings of special tokens in a text are ordinary text.
+    its words' ids in order. Words of Latin letters and ASCII are split by the same rule here, so that variants in case and
+    punctuation share pieces, and the library's model encodes each new piece; other new words go through the whole
+    tokenizer. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,34 +81,60 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words, self.pieces = Generations(MEMO_WORDS), Generations(MEMO_PIECES)
-        self.plain, self.split = re.compile(rb"[\x21-\x7e]+").fullmatch, re.compile(PIECES).findall
-
-    def ask(self, keys: list[bytes], memo: dict[bytes, bytes]) -> None:
-        """Puts the library's packed ids of words or pieces into a memo."""
-        for at in range(0, len(keys), 2000):
-            part = keys[at : at + 2000]
-            found = self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
-            for key, e in zip(part, found, strict=True):
-                memo[key] = array("i", e.ids).tobytes()
-
-    def encode_words(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Packed little-endian 32-bit ids of each list of words."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), DOCS):
-            part = texts[at : at + DOCS]
-            new = self.words.lacking(set().union(*part))
-            split = {w: self.split(w.lower()) for w in new if self.plain(w)}
-            pieces = self.pieces.lacking({p for own in split.values() for p in own})
-            self.ask(pieces, self.pieces.young)
-            look, words = self.pieces.young.__getitem__, self.words.young
-            for w, own in split.items():
-                words[w] = b"".join(map(look, own))
-            self.ask([w for w in new if w not in split], words)
-            out += [b"".join(map(words.__getitem__, own)) for own in part]
+        self.words, self.pieces, self.letters = Generations(MEMO_WORDS), Generations(MEMO_PIECES), byte_letters()
+        self.plain, self.split = re.compile(PLAIN).fullmatch, regex.compile(PIECES).findall
+
+    def learn(self, new: list[bytes]) -> None:
+        """Puts the packed ids of new words into the younger memo."""
+        words, split, other = self.words.young, {}, []
+        for w in new:
+            if self.plain(text := w.decode(errors="replace")):
+                split[w] = self.split(text.lower())
+            else:
+                other.append((w, text))
+        pieces, letters, tokenize = self.pieces.young, self.letters, self.tokenizer.model.tokenize
+        fresh = self.pieces.lacking({p for own in split.values() for p in own})
+        for p in fresh:
+            shown = p if p.isascii() else "".join([letters[b] for b in p.encode()])
+            pieces[p] = array("i", [t.id for t in tokenize(shown)]).tobytes()
+        for w, own in split.items():
+            words[w] = b"".join(map(pieces.__getitem__, own))
+        for at in range(0, len(other), 2000):
+            part = other[at : at + 2000]
+            found = self.tokenizer.encode_batch_fast([text for _, text in part], add_special_tokens=False)
+            for (w, _), e in zip(part, found, strict=True):
+                words[w] = array("i", e.ids).tobytes()
+        self.pieces.trim([p for p in fresh if len(p) > MEMO_BYTES])
+
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Packed little-endian 32-bit ids of each word."""
+        found = list(map(self.words.young.get, words))
+        if None in found:
+            new = self.words.lacking({w for w, ids in zip(words, found, strict=True) if ids is None})
+            self.learn(new)
+            found = list(map(self.words.young.__getitem__, words))
             self.words.trim([w for w in new if len(w) > MEMO_BYTES])
-            self.pieces.trim([p for p in pieces if len(p) > MEMO_BYTES])
-        return out
+        return found
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """Ids of each text with end_id appended: words are numbered in Arrow, and only different ones are looked up.
+
+        A-Z in lower case and a blank after a letter that isn't followed by one change no ids, since the tokenizer lower-cases
+        and always splits there; they leave fewer different words.
+        """
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts.fill_null("")), AFTER_LETTER, r"\1 \2")
+        split = pc.ascii_split_whitespace(plain)
+        numbered = split.flatten().dictionary_encode()
+        packed = self.ids_of(numbered.dictionary.cast(pa.binary()).to_pylist()) + [array("i", [end_id]).tobytes()]
+        lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        starts, ids = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(packed), "<i4")
+        ends = np.asarray(split.offsets).astype(np.int64)
+        ends = ends - ends[0]
+        words = np.insert(np.asarray(numbered.indices), ends[1:], len(packed) - 1)
+        each = lengths[words]
+        stops = np.concatenate([[0], np.cumsum(each)])
+        place = np.arange(stops[-1]) + np.repeat(starts[words] - stops[:-1], each)
+        return pa.ListArray.from_arrays(pa.array(stops[ends + np.arange(len(ends))].astype(np.int32)), pa.array(ids[place]))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -108,16 +149,11 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
     def make():
         if tokenizer_path not in _TOKENIZERS:
             _TOKENIZERS[tokenizer_path] = WordTokenizer(tokenizer_path)
-        tokenizer, end, rows = _TOKENIZERS[tokenizer_path], np.array([end_id], "<i4").tobytes(), [0]
+        tokenizer, rows = _TOKENIZERS[tokenizer_path], [0]
 
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts, packed = utf8(batch.column(text_col)), []
-            for at in range(0, len(texts), DOCS):
-                packed += [x + end for x in tokenizer.encode_words([t.split() if t else [] for t in texts[at : at + DOCS]])]
-            ends = np.cumsum([0] + [len(x) // 4 for x in packed]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-            first, rows[0] = rows[0], rows[0] + len(packed)
-            return [batch.column(id_col), pa.array(range(first, rows[0]), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values)]
+            first, rows[0] = rows[0], rows[0] + batch.num_rows
+            return [batch.column(id_col), pa.array(range(first, rows[0]), pa.int64()), tokenizer.encode(batch.column(text_col), end_id)]
 
         return kernel
 

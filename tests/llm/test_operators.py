@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -148,9 +149,9 @@ def test_token_files(spark, docs, texts, empty, tmp_path):
 def test_word_ids_are_text_ids():
     r, words = random.Random(3), token_files.WordTokenizer(WORDS)
     alphabet = " \n\t\x0b\x1c\x85 　̧́ΣσAa'stléÉİ1２<|endoftext|>#\U0001f600中가"
-    for _ in range(3000):
-        text = "".join(r.choice(alphabet) for _ in range(r.randrange(15)))
-        assert np.frombuffer(words.encode_words([text.encode().split()])[0], "<i4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(15))) for _ in range(3000)] + [None]
+    got = words.encode(pa.array(texts), 1).to_pylist()
+    assert got == [words.tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
 def brute_components(rows, n, percent):
