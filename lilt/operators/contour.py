@@ -138,7 +138,8 @@ def confidence(shape: Column, delta: Column, depth: Column, voiced_s: Column, pa
         .when(shape.isin("rising-falling", "falling-rising"), F.abs(depth) / S.MIN_TURN - 1)
         .when(shape == "level", 1 - F.abs(delta) / S.MIN_DELTA)
     )
-    return F.coalesce(F.round(clip(margin) * clip(voiced_s) * F.pow(F.lit(0.7), pauses), 3), F.lit(0.0))
+    # least() and greatest() pass over nulls, so a missing margin is caught first
+    return F.when(margin.isNull(), 0.0).otherwise(F.round(clip(margin) * clip(voiced_s) * F.pow(F.lit(0.7), pauses), 3))
 
 
 def intonation(shape: Column, dynamics: Column, confidence: Column) -> Column:

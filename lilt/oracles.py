@@ -100,9 +100,9 @@ s AS (
          CASE WHEN coalesce(z.n, 0) < 25 THEN 'insufficient_voiced' WHEN spread < 3 THEN 'flat' WHEN spread > 9 THEN 'expressive' ELSE 'moderate' END AS dyn
   FROM (SELECT DISTINCT utt FROM t) u LEFT JOIN z USING (utt) LEFT JOIN h USING (utt) LEFT JOIN g USING (utt)),
 k AS (
-  SELECT *, coalesce(round(greatest(0, least(1, CASE WHEN shape IN ('rising', 'falling') THEN abs(delta) / 2 - 1
+  SELECT *, (CASE WHEN shape = 'insufficient_voiced' OR delta IS NULL THEN 0 ELSE round(greatest(0, least(1, CASE WHEN shape IN ('rising', 'falling') THEN abs(delta) / 2 - 1
          WHEN shape IN ('rising-falling', 'falling-rising') THEN abs(depth) / 2 - 1 WHEN shape = 'level' THEN 1 - abs(delta) / 2 END))
-         * least(1, n * 0.01::DOUBLE) * pow(0.7, pauses), 3), 0)::DOUBLE AS conf
+         * least(1, n * 0.01::DOUBLE) * pow(0.7, pauses), 3) END)::DOUBLE AS conf
   FROM s WHERE true)"""
 
 GATED = CONTOUR + """,
