@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lilt.llm.common import append_columns, checkpoint_dir, partitions
+from lilt.llm.common import append_columns, checkpoint_dir, cut, partitions
 
 #: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered.
 MEMO_WORDS, MEMO_PIECES, MEMO_BYTES = 450_000, 250_000, 64
@@ -87,12 +87,14 @@ class WordTokenizer:
     def learn(self, new: list[bytes]) -> None:
         """Puts the packed ids of new words into the younger memo."""
         words, split, other = self.words.young, {}, []
+        pieces, letters, tokenize = self.pieces.young, self.letters, self.tokenizer.model.tokenize
         for w in new:
-            if self.plain(text := w.decode(errors="replace")):
+            if w.isalpha():  # ASCII letters alone are one piece, and the memo of words has it
+                words[w] = array("i", [t.id for t in tokenize(w.decode().lower())]).tobytes()
+            elif self.plain(text := w.decode(errors="replace")):
                 split[w] = self.split(text.lower())
             else:
                 other.append((w, text))
-        pieces, letters, tokenize = self.pieces.young, self.letters, self.tokenizer.model.tokenize
         fresh = self.pieces.lacking({p for own in split.values() for p in own})
         for p in fresh:
             shown = p if p.isascii() else "".join([letters[b] for b in p.encode()])
@@ -126,15 +128,17 @@ class WordTokenizer:
         split = pc.ascii_split_whitespace(plain)
         numbered = split.flatten().dictionary_encode()
         packed = self.ids_of(numbered.dictionary.cast(pa.binary()).to_pylist()) + [array("i", [end_id]).tobytes()]
-        lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        starts, ids = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(packed), "<i4")
-        ends = np.asarray(split.offsets).astype(np.int64)
+        lengths = np.fromiter(map(len, packed), np.int32, len(packed)) // 4
+        starts, ids = np.cumsum(lengths, dtype=np.int32) - lengths, np.frombuffer(b"".join(packed), "<i4")
+        ends = np.asarray(split.offsets)
         ends = ends - ends[0]
         words = np.insert(np.asarray(numbered.indices), ends[1:], len(packed) - 1)
         each = lengths[words]
-        stops = np.concatenate([[0], np.cumsum(each)])
-        place = np.arange(stops[-1]) + np.repeat(starts[words] - stops[:-1], each)
-        return pa.ListArray.from_arrays(pa.array(stops[ends + np.arange(len(ends))].astype(np.int32)), pa.array(ids[place]))
+        stops = np.zeros(len(words) + 1, np.int32)
+        np.cumsum(each, out=stops[1:])
+        place = np.repeat(starts[words] - stops[:-1], each)
+        place += np.arange(len(place), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(stops[ends + np.arange(len(ends))]), pa.array(ids[place]))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -175,7 +179,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, stri
     (
         encode(ranged, tokenizer_path, end_id)
         .write.mode("overwrite")
-        .option("orc.compress", "ZSTD")
+        .option("orc.compress", "LZ4")
         .option("orc.stripe.size", str(stripe_mb << 20))
         .option("orc.row.index.stride", str(stride))
         .option("orc.bloom.filter.columns", "doc_id")
@@ -209,10 +213,10 @@ def layout(spark: SparkSession, path: str) -> DataFrame:
 
         return kernel
 
-    stored = append_columns(read(spark, path).withColumn("n_tokens", F.size("ids").cast("long")), make, [T.StructField("ids_crc32", T.LongType())]).drop("ids")
+    rows = append_columns(read(spark, path).withColumn("n_tokens", F.size("ids").cast("long")), make, [T.StructField("ids_crc32", T.LongType())])
+    stored = cut(rows.drop("ids"))  # a short row a document, read twice below; the files are read once
     before = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    counts = read(spark, path).select("file", F.size("ids").cast("long").alias("n"))
-    files = counts.groupBy("file").agg(F.sum("n").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    files = stored.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
     return stored.join(files, "file").select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
