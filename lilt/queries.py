@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lilt import fixture_views as V
 from lilt import schema as S
 from lilt.functions import scalar
-from lilt.operators import augment, calibration, contour, frames, report
+from lilt.operators import augment, calibration, contour, frames, kernels, report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,12 @@ def octave_global(spark, sf_dir):
     return frames.octave_global(V.track(spark, sf_dir)).select("utt", "frame", F.round("f0", 6).alias("f0"))
 
 
+@query
+def octave_local(spark, sf_dir):
+    """Iterative, so SQL can't express it; tests hold it against plain Python."""
+    return kernels.octave_local(V.track(spark, sf_dir)).select("utt", "frame", F.round("f0", 6).alias("f0"))
+
+
 @query
 def f0_stats(spark, sf_dir):
     return frames.f0_stats(V.speech_track(spark, sf_dir))
