@@ -35,8 +35,8 @@ from lilt.llm.components import components
 CROWDED = 1e-7
 #: Low bits of a key: it links without verification; its set is the larger one of the sizes it is for; the sizes are equal.
 SURE, LARGER, EQUAL = 1, 2, 4
-#: Sets in a tile, hashes in a bucket, columns of a matrix at a time.
-TILE, BUCKET_KEYS, COLUMNS = 1024, 2_000_000, 4096
+#: Sets in a tile, hashes in a bucket, columns of a matrix and rows of a comparison at a time.
+TILE, BUCKET_KEYS, COLUMNS, ROWS = 3072, 2_000_000, 2048, 256
 
 
 class Sizes:
@@ -258,7 +258,10 @@ def _verify(percent: int):
         cols = rows if i == j else np.flatnonzero(tile == j)
         n = np.array([len(s) for s in sets], np.int64)
         both = overlaps(sets, rows, cols)
-        hit = 100 * both >= percent * (n[rows][:, None] + n[cols][None, :] - both)
+        hit = np.empty(both.shape, bool)
+        for at in range(0, len(rows), ROWS):
+            part = both[at : at + ROWS].astype(np.int64)
+            hit[at : at + ROWS] = 100 * part >= percent * (n[rows[at : at + ROWS]][:, None] + n[cols][None, :] - part)
         edges = forest(hit, rows, cols)
         return pa.Table.from_arrays([pa.array([ids[a] for a, _ in edges], pa.int64()), pa.array([ids[b] for _, b in edges], pa.int64())], schema=_LINKS)
 
@@ -276,7 +279,8 @@ def overlaps(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.n
     owner, column = owner[order], column[order]
     row_of, col_of = np.full(len(sets), -1), np.full(len(sets), -1)
     row_of[rows], col_of[cols] = np.arange(len(rows)), np.arange(len(cols))
-    total = np.zeros((len(rows), len(cols)), np.int64)
+    # 32-bit floats count exactly up to 2 ** 24
+    total = np.zeros((len(rows), len(cols)), np.float32 if max(map(len, sets)) < 1 << 24 else np.float64)
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         a, b = np.searchsorted(column, [start, start + COLUMNS])
         o, c = owner[a:b], column[a:b] - start
@@ -286,7 +290,7 @@ def overlaps(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.n
         left[row_of[o[ok]], c[ok]] = 1
         ok = col_of[o] >= 0
         right[col_of[o[ok]], c[ok]] = 1
-        total += (left @ right.T).astype(np.int64)
+        total += left @ right.T
     return total
 
 
