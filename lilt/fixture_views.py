@@ -43,7 +43,7 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "turn",
         "CASE WHEN turn % 3 = 0 THEN '' ELSE concat(conv_id, '-', turn) END AS audio_path",
         "conv_id AS id",
-        "CASE WHEN turn % 2 = 0 THEN '' ELSE substring(text, 1, 40) END AS transcription",
+        "CASE WHEN turn % 2 = 0 THEN '' ELSE text END AS transcription",
         "text",
         "CASE WHEN turn % 5 = 4 THEN NULL ELSE role END AS emotion",
         "CASE WHEN conv_id % 4 = 0 THEN NULL ELSE 'Female' END AS gender",
