@@ -210,7 +210,7 @@ def head_tail_delta(spark, sf_dir):
 
 
 def _contours(spark, sf_dir):
-    return contour.contours(V.track(spark, sf_dir), smooth=False)
+    return contour.contours(V.track(spark, sf_dir))
 
 
 @query
