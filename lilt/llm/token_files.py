@@ -30,7 +30,9 @@ MEMO_WORDS, MEMO_PIECES, MEMO_BYTES = 450_000, 250_000, 64
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Printable ASCII and Latin letters, for which NFC is the identity and lower case goes character by character.
 PLAIN = "[!-~¡-įı-ſ]+"
-#: An ASCII letter and the ASCII character after it, if that is no letter and no white space.
+#: A text of ASCII and PLAIN characters alone.
+PLAIN_TEXT = r"\A[\x00-\x7F¡-įı-ſ]*\z"
+#: A lower-case ASCII letter and the ASCII character after it, if that is no letter and no white space.
 AFTER_LETTER = r"([a-z])([!-@\[-`{-~])"
 
 
@@ -69,10 +71,10 @@ class Generations:
 class WordTokenizer:
     """A tokenizer of the tokenizers library that drops white space, asked once for each new word or piece of a word.
 
-    Its splitting rule never crosses white space and its normaliser works character by character, so a text's ids are
-    its words' ids in order. Words of Latin letters and ASCII are split by the same rule here, so that variants in case and
-    punctuation share pieces, and the library's model encodes each new piece; other new words go through the whole
-    tokenizer. Strings of special tokens in a text are ordinary text.
+    Its splitting rule and its normaliser never cross white space, so a text's ids are its words' ids in order. Words of
+    PLAIN characters are split by the same rule here, so that variants in case and punctuation share pieces, and the
+    library's model encodes each new piece; other new words go through the whole tokenizer as they are, since it composes
+    characters before it lower-cases them. A special token's string in a text is that token, as in the library.
     """
 
     def __init__(self, path: str) -> None:
@@ -80,7 +82,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added.values()):
+            raise ValueError("added tokens must be matched as they stand, wherever they stand")
+        self.special = {t.content.encode(): array("i", [i]).tobytes() for i, t in added.items()}
+        self.any_special = "(" + "|".join(sorted((re.escape(t.content) for t in added.values()), key=len, reverse=True)) + ")"
         self.words, self.pieces, self.letters = Generations(MEMO_WORDS), Generations(MEMO_PIECES), byte_letters()
         self.plain, self.split = re.compile(PLAIN).fullmatch, regex.compile(PIECES).findall
 
@@ -89,7 +95,9 @@ class WordTokenizer:
         words, split, other = self.words.young, {}, []
         pieces, letters, tokenize = self.pieces.young, self.letters, self.tokenizer.model.tokenize
         for w in new:
-            if w.isalpha():  # ASCII letters alone are one piece, and the memo of words has it
+            if w in self.special:
+                words[w] = self.special[w]
+            elif w.isalpha():  # ASCII letters alone are one piece, and the memo of words has it
                 words[w] = array("i", [t.id for t in tokenize(w.decode().lower())]).tobytes()
             elif self.plain(text := w.decode(errors="replace")):
                 split[w] = self.split(text.lower())
@@ -121,11 +129,22 @@ class WordTokenizer:
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """Ids of each text with end_id appended: words are numbered in Arrow, and only different ones are looked up.
 
-        A-Z in lower case and a blank after a letter that isn't followed by one change no ids, since the tokenizer lower-cases
-        and always splits there; they leave fewer different words.
+        In texts of PLAIN characters without special tokens, A-Z in lower case and a blank after a letter that isn't followed
+        by one change no ids, since nothing composes, the tokenizer lower-cases and it always splits there; they leave fewer
+        different words. Special tokens are set apart by blanks; other texts stay as they are.
         """
-        plain = pc.replace_substring_regex(pc.ascii_lower(texts.fill_null("")), AFTER_LETTER, r"\1 \2")
-        split = pc.ascii_split_whitespace(plain)
+        texts = texts.fill_null("")
+        plain = pc.match_substring_regex(texts, PLAIN_TEXT)
+        if self.special:
+            marked = pc.match_substring_regex(texts, self.any_special)
+            plain = pc.and_not(plain, marked)
+            if pc.any(marked).as_py():
+                texts = pc.if_else(marked, pc.replace_substring_regex(texts, self.any_special, r" \1 "), texts)
+        if pc.all(plain).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), AFTER_LETTER, r"\1 \2")
+        else:
+            texts = pc.if_else(plain, pc.replace_substring_regex(pc.ascii_lower(texts), AFTER_LETTER, r"\1 \2"), texts)
+        split = pc.ascii_split_whitespace(texts)
         numbered = split.flatten().dictionary_encode()
         packed = self.ids_of(numbered.dictionary.cast(pa.binary()).to_pylist()) + [array("i", [end_id]).tobytes()]
         lengths = np.fromiter(map(len, packed), np.int32, len(packed)) // 4
