@@ -2,7 +2,7 @@
 
 A document is the mean of the embeddings of all its subwords (one to four bytes of each word and the word itself, hashed to
 a fixed number of buckets); a linear layer and a softmax give a language. Embeddings and layer are trained by stochastic
-gradient descent in numpy on a bounded sample of labelled rows. A part of the sample is held back to set the softmax
+gradient descent in numpy on a sample of labelled rows, bounded for each language. A part of the sample is held back to set the softmax
 temperature and the confidence below which a document is rejected.
 
 Since everything after the hashing is linear, the trained model is one table of logits by bucket, and a word's part of a
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,7 +136,7 @@ def _features(buckets: int):
                     found, owner = subwords([x for x, _ in letters], buckets)
                     counts += np.bincount(found, np.array([n for _, n in letters])[owner], buckets).astype(np.int64)
                 at = np.flatnonzero(counts)
-                packed.append(np.concatenate([at, counts[at]]).astype("<i8").tobytes())
+                packed.append(np.concatenate([at, counts[at]]).astype("<i4").tobytes())
             return [pa.array(packed, pa.binary())]
 
         return kernel
@@ -144,26 +144,50 @@ def _features(buckets: int):
     return make
 
 
-def sample_features(labelled: DataFrame, max_docs: int, buckets: int) -> tuple[list[str], np.ndarray]:
-    """Labels and mean subword vectors of a sample of at most max_docs rows of (doc_id, text, lang).
+class Vectors:
+    """Mean subword vectors, kept by their buckets that aren't 0; x[rows] is a dense array of some of them."""
 
-    The sample is bounded by max_docs, and what the driver gets of a row by the number of buckets, whatever its text's
-    length. Rows are picked by a hash of their id, so reruns agree.
+    def __init__(self, packed: list[bytes], buckets: int) -> None:
+        self.shape, self.parts = (len(packed), buckets), []
+        for p in packed:
+            at, counts = np.frombuffer(p, "<i4").reshape(2, -1)
+            self.parts.append((at, (counts / max(counts.sum(dtype=np.int64), 1)).astype(np.float32)))
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), self.shape[1]), np.float32)
+        for i, r in enumerate(rows):
+            at, share = self.parts[r]
+            out[i, at] = share
+        return out
+
+
+def sample_features(labelled: DataFrame, max_docs: int, buckets: int) -> tuple[list[str], Vectors]:
+    """Labels and mean subword vectors of a sample of at most max_docs rows of each lang of (doc_id, text, lang).
+
+    The sample is bounded by max_docs a lang, and what the driver gets of a row by the number of buckets, whatever its text's
+    length. Rows are picked by a hash of their id, so reruns agree. A bound on the hash keeps half as many rows of a lang again
+    as are wanted; where that leaves too few (many rows share an id), the lang's rows are taken in order of the hash alone.
     """
-    n = labelled.count()
-    share = min(1.0, 1.5 * max_docs / max(n, 1))
-    picked = labelled.withColumn("_pick", F.xxhash64(F.lit("language"), "doc_id"))
-    picked = picked.where(F.pmod("_pick", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("_pick", "doc_id", "lang").limit(max_docs)
-    rows = append_columns(picked.select("doc_id", "lang", "text"), _features(buckets), [T.StructField("_packed", T.BinaryType())]).select("doc_id", "lang", "_packed").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["lang"]))
-    x = np.zeros((len(rows), buckets), np.float32)
-    for i, r in enumerate(rows):
-        at, counts = np.frombuffer(r["_packed"], "<i8").reshape(2, -1)
-        x[i, at] = counts / max(counts.sum(), 1)
-    return [r["lang"] for r in rows], x
-
-
-def fit(labels: list[str], x: np.ndarray, dims: int = 16, epochs: int = 30, rate: float = 40.0, batch: int = 16, calibrate: float = 0.2, reject: float = 0.001, most: float = 0.5, seed: int = 7) -> Model:
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    bounds = [(lang, min(int(1.5 * max_docs / n * 2**63), 2**63 - 1)) for lang, n in sizes.items()]
+    below = F.broadcast(labelled.sparkSession.createDataFrame(bounds, "lang string, _bound long"))
+    hashed = labelled.withColumn("_pick", F.shiftrightunsigned(F.xxhash64(F.lit("language"), "doc_id"), 1))
+    order = ["_pick", "doc_id", F.xxhash64("text")]
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    found = _collect(hashed.join(below, "lang").where("_pick <= _bound").withColumn("_n", first).where(F.col("_n") <= max_docs), buckets)
+    got = Counter(r["lang"] for r in found)
+    for lang in (x for x, n in sizes.items() if got[x] < min(max_docs, n)):
+        found = [r for r in found if r["lang"] != lang] + _collect(hashed.where(F.col("lang") == lang).orderBy(*order).limit(max_docs), buckets)
+    found.sort(key=lambda r: (r["doc_id"], r["lang"], r["_packed"]))
+    return [r["lang"] for r in found], Vectors([bytes(r["_packed"]) for r in found], buckets)
+
+
+def _collect(picked: DataFrame, buckets: int) -> list:
+    packed = append_columns(picked.select("doc_id", "lang", "text"), _features(buckets), [T.StructField("_packed", T.BinaryType())])
+    return packed.select("doc_id", "lang", "_packed").collect()
+
+
+def fit(labels: list[str], x: np.ndarray | Vectors, dims: int = 16, epochs: int = 30, rate: float = 40.0, batch: int = 16, calibrate: float = 0.2, reject: float = 0.001, most: float = 0.5, seed: int = 7) -> Model:
     """Trains by stochastic gradient descent and calibrates on a part held back from training.
 
     The temperature is the one of a fixed grid with the least log loss on that part. The threshold is the confidence that
@@ -187,7 +211,10 @@ def fit(labels: list[str], x: np.ndarray, dims: int = 16, epochs: int = 30, rate
         rng.shuffle(train)
         for at in range(0, len(train), batch):
             rows = train[at : at + batch]
-            h = x[rows] @ e
+            some = x[rows]
+            used = np.flatnonzero(some.any(axis=0))
+            some = some[:, used]
+            h = some @ e[used]
             z = h @ w + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -197,20 +224,20 @@ def fit(labels: list[str], x: np.ndarray, dims: int = 16, epochs: int = 30, rate
             grad_h = p @ w.T
             w -= 0.02 * now * (h.T @ p)
             bias -= 0.02 * now * p.sum(axis=0)
-            used = np.flatnonzero(x[rows].any(axis=0))
-            e[used] -= now * (x[rows][:, used].T @ grad_h)
+            e[used] -= now * (some.T @ grad_h)
             done += 1
     model = Model(languages, (e @ w).astype(np.float64), bias.astype(np.float64))
     if not len(held):
         return model
-    z, best = x[held].astype(np.float64) @ model.logits + model.bias, (np.inf, 1.0)
+    sums = np.concatenate([x[held[at : at + DOCS]].astype(np.float64) @ model.logits for at in range(0, len(held), DOCS)])
+    z, best = sums + model.bias, (np.inf, 1.0)
     for temperature in np.geomspace(0.25, 8, 41):
         p = z / temperature
         p = p - p.max(axis=1, keepdims=True)
         loss = float(np.mean(np.log(np.exp(p).sum(axis=1)) - p[np.arange(len(held)), y[held]]))
         best = min(best, (loss, float(temperature)))
     model = Model(languages, model.logits, model.bias, best[1])
-    p = model.probabilities(x[held].astype(np.float64) @ model.logits, np.ones(len(held)))
+    p = model.probabilities(sums, np.ones(len(held)))
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]])
     threshold = min(most, float(right[int(reject * len(right))])) if len(right) else 0.0
     return Model(languages, model.logits, model.bias, best[1], threshold)
@@ -219,7 +246,7 @@ def fit(labels: list[str], x: np.ndarray, dims: int = 16, epochs: int = 30, rate
 def train(docs: DataFrame, max_docs: int = 2000, buckets: int = 8192) -> Model:
     """A model from (doc_id, text, lang): labelled rows whose crc32(doc_id as text) mod 4 isn't 2.
 
-    Rows with a null text, lang or id don't take part. max_docs and buckets bound the sample and its size.
+    Rows with a null text, lang or id don't take part. max_docs bounds the sample's rows of each lang, buckets their size.
     """
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     return fit(*sample_features(labelled, max_docs, buckets))

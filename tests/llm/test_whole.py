@@ -6,9 +6,10 @@ import random
 
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import token_files
+from lilt.llm import language, token_files
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,3 +22,18 @@ def test_ids_are_those_of_a_fresh_tokenizer():
     want = [library.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
     assert words.encode(pa.array(texts), 1).to_pylist() == want
     assert [words.encode(pa.array([t], pa.string()), 1).to_pylist()[0] for t in texts[:400]] == want[:400]
+
+
+def test_every_language_is_learned(spark):
+    common = [(i, "lorem ipsum dolor" if i % 2 else "straße über haus", "aa" if i % 2 else "bb") for i in range(6000)]
+    rare = [(-i, "год мир язык", "cc") for i in range(1, 40)] + [(3, f"ένα δύο {i}", "dd") for i in range(40)]
+    frame = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    labels, x = language.sample_features(frame, 12, 512)
+    assert {lang: labels.count(lang) for lang in set(labels)} == {"aa": 12, "bb": 12, "cc": 12, "dd": 12} and x.shape == (48, 512)
+    assert language.train(frame, 12).languages == ("aa", "bb", "cc", "dd")
+
+
+def test_a_small_share_of_rows_is_still_a_sample(spark):
+    many = spark.range(4_000_000).select(F.col("id").alias("doc_id"), F.lit("lorem ipsum").alias("text"), F.when(F.col("id") % 2 == 0, "aa").otherwise("bb").alias("lang"))
+    labels, _ = language.sample_features(many, 1, 64)
+    assert sorted(labels) == ["aa", "bb"]
