@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import language, token_files
+from lilt.llm import language, licenses, token_files
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,3 +37,11 @@ def test_a_small_share_of_rows_is_still_a_sample(spark):
     many = spark.range(4_000_000).select(F.col("id").alias("doc_id"), F.lit("lorem ipsum").alias("text"), F.when(F.col("id") % 2 == 0, "aa").otherwise("bb").alias("lang"))
     labels, _ = language.sample_features(many, 1, 64)
     assert sorted(labels) == ["aa", "bb"]
+
+
+def test_bare_creative_commons_names_have_their_labels():
+    for name in ("cc-by", "cc-by-sa", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa", "cc-by-nc-nd", "cc0"):
+        found = licenses.scan(f"Pictures: {name.upper().replace('-', ' ', 1)}, see below".encode())
+        assert [(d.label, d.start) for d in found.detections] == [(name, 1)] and name in found.labels
+    assert "cc-by-sa" in licenses.scan(b"Creative Commons Attribution-ShareAlike").labels
+    assert licenses.scan(b"cc bysa, cc0x").labels == []
