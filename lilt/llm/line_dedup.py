@@ -1,8 +1,9 @@
 """Line deduplication across documents (DataFrame operations only).
 
-Long lines become 128-bit hashes, range-partitioned with a secondary sort by document (largest first) and
-position, so the first row of a hash's stream is in the document that keeps the line. What comes back is a compressed keep bitmap per document, never text: only the 64-bit words of
-the bitmap that drop a line are listed.
+Long lines become 128-bit hashes, range-partitioned by hash and document. An aggregate takes the largest document of each
+hash, which keeps the line, and a join on the hash finds the rows to drop; the stream sorted by document and position that
+the method's description has is not read (the optimizer removes the sort). What comes back is a compressed keep bitmap per
+document, never text: only the 64-bit words of the bitmap that drop a line are listed.
 
 A line that a third of all documents hold spreads over several ranges, since the document is part of the range key;
 counts and keepers are combined on the map side, and the join that finds the rows to drop is a sort-merge join whose
