@@ -65,7 +65,7 @@ def percentile_linear(spark, sf_dir):
 @query
 def report_label_counts(spark, sf_dir):
     u = V.utterances(spark, sf_dir).withColumn("age_level", scalar.age_level(F.col("age_years")))
-    return report.label_counts(u, ("gender", "age_level", "f0_reliable"))
+    return report.label_counts(calibration.apply_labels(u, calibration.fit(u)))
 
 
 @query

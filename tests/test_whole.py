@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -95,3 +96,10 @@ def test_contour_queries_smooth_first(spark, db):
     labels = {r.utt: r.intonation for r in queries.intonation(spark, SF).collect()}
     assert labels == {r.utt: told(r.contour_shape, r.contour_dynamics, r.contour_confidence) for r in gated}
     assert queries.vocabulary_check(spark, SF).first().n_outside == 0
+
+
+def test_label_counts_take_the_calibrated_levels(spark, db):
+    fields = ("pitch_level", "energy_level", "speed_level", "gender", "age_level")
+    rows = db.sql(f"WITH {oracles.UTT}, {oracles.CALIB}, {oracles.LOOKUP} SELECT {oracles.LEVELS}, gender, {oracles.AGE} AS age_level FROM found").fetchall()
+    want = Counter((f, "None" if x is None else x) for row in rows for f, x in zip(fields, row, strict=True))
+    assert {(r.field, r.label): r.n for r in queries.report_label_counts(spark, SF).collect()} == want
