@@ -36,6 +36,11 @@ def speech_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return track(spark, sf_dir).selectExpr("*", "rms > 0.05D AS speech", "rms > 0.05D AS mask")
 
 
+def late_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A speech mask whose grid starts four frames late, so the first frames of a track have none."""
+    return speech_track(spark, sf_dir).selectExpr("utt", "frame + 4 AS frame", "speech")
+
+
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records to enrich, from conversations."""
     return table(spark, sf_dir, "conversations").selectExpr(

@@ -71,8 +71,33 @@ p AS (
   SELECT *, (frame - min(frame) OVER (PARTITION BY utt)) / greatest(max(frame) OVER (PARTITION BY utt) - min(frame) OVER (PARTITION BY utt), 1)::DOUBLE AS t
   FROM v)"""
 
-FITS = VOICED + """,
-c AS (SELECT utt, t, t - avg(t) OVER (PARTITION BY utt) AS x, st - avg(st) OVER (PARTITION BY utt) AS y FROM p),
+_SG = "(-21 * {} + 14 * {} + 39 * {} + 54 * {} + 59 * {} + 54 * {} + 39 * {} + 14 * {} - 21 * {}) / 231.0::DOUBLE"
+
+MEDIAN = """w5 AS (
+  SELECT utt, frame, i, n, st, [coalesce(lag(st, 2) OVER w, first_value(st) OVER w), coalesce(lag(st, 1) OVER w, st), st,
+         coalesce(lead(st, 1) OVER w, st), coalesce(lead(st, 2) OVER w, lead(st, 1) OVER w, st)] AS x
+  FROM v WINDOW w AS (PARTITION BY utt ORDER BY frame)),
+m5 AS (SELECT utt, frame, i, n, CASE WHEN n < 5 THEN st ELSE list_sort(x)[3] END AS st FROM w5)"""
+
+
+def _savgol(source: str) -> str:
+    """Common table expressions up to sg (utt, frame, i, n, st): the smoothed rows of source."""
+    lags = [f"lag(st, {-k}) OVER w" if k < 0 else f"lead(st, {k}) OVER w" if k else "st" for k in range(-4, 5)]
+    parts = []
+    for side, u, inside in (("hd", "i - 5", "i <= 9"), ("tl", "i - (n - 4)", "i > n - 9")):
+        parts.append(f"{side} AS (SELECT utt, sum(st) AS y0, sum(st * ({u})) AS y1, sum(st * ({u}) * ({u})) AS y2 FROM {source} WHERE n >= 9 AND {inside} GROUP BY utt)")
+    # least squares over -4 to 4: sums of squares 60 and of fourth powers 708
+    at = lambda s, u: f"((708 * {s}.y0 - 60 * {s}.y2) / 2772 + {s}.y1 / 60 * ({u}) + (9 * {s}.y2 - 60 * {s}.y0) / 2772 * ({u}) * ({u}))"
+    return f"""{", ".join(parts)},
+mid AS (SELECT utt, frame, i, n, st, {_SG.format(*lags)} AS inner_st FROM {source} WINDOW w AS (PARTITION BY utt ORDER BY frame)),
+sg AS (
+  SELECT mid.utt, frame, i, n, CASE WHEN n < 9 THEN st WHEN i <= 4 THEN {at("hd", "i - 5")} WHEN i > n - 4 THEN {at("tl", "i - (n - 4)")} ELSE inner_st END AS st
+  FROM mid LEFT JOIN hd USING (utt) LEFT JOIN tl USING (utt))"""
+
+
+def _fits(placed: str) -> str:
+    """Common table expressions up to z, the fits of placed frames (utt, t, st)."""
+    return f"""c AS (SELECT utt, t, t - avg(t) OVER (PARTITION BY utt) AS x, st - avg(st) OVER (PARTITION BY utt) AS y FROM {placed}),
 m AS (
   SELECT utt, count(*) AS n, avg(t) AS mt, sum(x * x) AS s2, sum(x * x * x) AS s3, sum(x * x * x * x) AS s4,
          sum(x * y) AS c1, sum(x * x * y) AS c2, sum(y * y) AS sst
@@ -85,11 +110,22 @@ f AS (
 z AS (
   SELECT *, CASE WHEN abs(a) > 1e-9 THEN -b / (2 * a) END AS pos, CASE WHEN abs(a) > 1e-9 THEN -b * b / (4 * a) - (a + b) / 2 END AS depth FROM f)"""
 
-CONTOUR = FITS + """,
-h AS (
+
+def _head(placed: str) -> str:
+    return f"""h AS (
   SELECT utt, quantile_cont(st, 0.5) FILTER (t >= 0.75) - quantile_cont(st, 0.5) FILTER (t <= 0.25) AS delta,
          quantile_cont(st, 0.95) - quantile_cont(st, 0.05) AS spread
-  FROM p GROUP BY utt),
+  FROM {placed} GROUP BY utt)"""
+
+
+FITS = f"{VOICED}, {_fits('p')}"
+
+SMOOTHED = f"""{VOICED}, {MEDIAN}, {_savgol('m5')},
+ps AS (
+  SELECT *, (frame - min(frame) OVER (PARTITION BY utt)) / greatest(max(frame) OVER (PARTITION BY utt) - min(frame) OVER (PARTITION BY utt), 1)::DOUBLE AS t
+  FROM sg)"""
+
+CONTOUR = f"{SMOOTHED}, {_fits('ps')}, {_head('ps')}" + """,
 g AS (
   SELECT utt, count(*) FILTER (gap > 30) AS pauses FROM (SELECT utt, frame - lag(frame) OVER (PARTITION BY utt ORDER BY frame) AS gap FROM v) GROUP BY utt),
 s AS (
@@ -118,7 +154,7 @@ o AS (
 
 CHAT = """c AS (
   SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '' ELSE conv_id || '-' || turn END AS audio_path,
-         CASE WHEN turn % 2 = 0 THEN '' ELSE substring(text, 1, 40) END AS transcription, text,
+         CASE WHEN turn % 2 = 0 THEN '' ELSE text END AS transcription, text,
          CASE WHEN turn % 5 = 4 THEN NULL ELSE role END AS emotion, CASE WHEN conv_id % 4 = 0 THEN NULL ELSE 'Female' END AS gender,
          CASE WHEN conv_id % 3 = 0 THEN NULL ELSE role || ', x' END AS stressed, CASE WHEN turn % 4 = 1 THEN 'rising' END AS intonation
   FROM conversations),
@@ -141,24 +177,6 @@ JOBS = """j AS (
          CASE WHEN event_type = 'error' OR event_id % 10 = 0 THEN 'Kind' || (user_id % 7) || ': ' || event_type END AS error
   FROM events)"""
 
-_SG = "(-21 * {} + 14 * {} + 39 * {} + 54 * {} + 59 * {} + 54 * {} + 39 * {} + 14 * {} - 21 * {}) / 231.0::DOUBLE"
-
-
-def _savgol() -> str:
-    lags = [f"lag(st, {-k}) OVER w" if k < 0 else f"lead(st, {k}) OVER w" if k else "st" for k in range(-4, 5)]
-    parts = []
-    for side in ("h", "l"):
-        u = "i - 5" if side == "h" else "i - (n - 4)"
-        inside = "i <= 9" if side == "h" else "i > n - 9"
-        parts.append(f"{side} AS (SELECT utt, sum(st) AS y0, sum(st * ({u})) AS y1, sum(st * ({u}) * ({u})) AS y2 FROM v WHERE n >= 9 AND {inside} GROUP BY utt)")
-    # least squares over -4 to 4: sums of squares 60 and of fourth powers 708
-    at = lambda s, u: f"((708 * {s}.y0 - 60 * {s}.y2) / 2772 + {s}.y1 / 60 * ({u}) + (9 * {s}.y2 - 60 * {s}.y0) / 2772 * ({u}) * ({u}))"
-    return f"""WITH {VOICED}, {", ".join(parts)},
-y AS (SELECT utt, frame, i, n, st, {_SG.format(*lags)} AS inner_st FROM v WINDOW w AS (PARTITION BY utt ORDER BY frame))
-SELECT y.utt, frame, round(CASE WHEN n < 9 THEN st WHEN i <= 4 THEN {at("h", "i - 5")} WHEN i > n - 4 THEN {at("l", "i - (n - 4)")} ELSE inner_st END, 6) AS st
-FROM y LEFT JOIN h USING (utt) LEFT JOIN l USING (utt)"""
-
-
 _RATE = "CASE WHEN {0} > 0 AND {1} > 0 THEN round({0} / {1}, 3) END"
 
 ORACLES: dict[str, str] = {
@@ -171,11 +189,12 @@ ORACLES: dict[str, str] = {
     "percentile_linear": f"WITH {UTT} SELECT dataset, "
     + ", ".join(f"round(quantile_cont(f0, {q / 100}), 6) AS p{q}" for q in (5, 25, 50, 75, 95))
     + " FROM u GROUP BY dataset",
-    "report_label_counts": f"""WITH {UTT}, l AS (SELECT 'gender' AS field, gender AS label FROM u UNION ALL SELECT 'age_level', {AGE} FROM u
-        UNION ALL SELECT 'f0_reliable', reliable::VARCHAR FROM u) SELECT field, coalesce(label, 'None') AS label, count(*) AS n FROM l GROUP BY 1, 2""",
-    "report_range_spread": f"WITH {UTT} SELECT " + ", ".join(f"round(quantile_cont(range_st, {q / 100}), 6) AS p{q}" for q in (5, 25, 50, 75, 95)) + " FROM u HAVING count(range_st) > 0",
-    "report_f0_by_gender": f"""WITH {UTT} SELECT coalesce(gender, 'None') AS gender, count(f0) AS n, round(quantile_cont(f0, 0.1), 6) AS p10,
-        round(quantile_cont(f0, 0.5), 6) AS median, round(quantile_cont(f0, 0.9), 6) AS p90 FROM u GROUP BY 1 HAVING count(f0) > 0""",
+    "report_label_counts": f"""WITH {UTT}, {CALIB}, {LOOKUP}, r AS (SELECT {LEVELS}, gender, {AGE} AS age_level FROM found),
+        l AS (SELECT unnest(['pitch_level', 'energy_level', 'speed_level', 'gender', 'age_level']) AS field, unnest([pitch_level, energy_level, speed_level, gender, age_level]) AS label FROM r)
+        SELECT field, coalesce(label, 'None') AS label, count(*) AS n FROM l GROUP BY 1, 2""",
+    "report_range_spread": f"WITH {UTT} SELECT " + ", ".join(f"round(quantile_cont(range_st, {q / 100}), 2) AS p{q}" for q in (5, 25, 50, 75, 95)) + " FROM u HAVING count(range_st) > 0",
+    "report_f0_by_gender": f"""WITH {UTT} SELECT coalesce(gender, 'None') AS gender, count(f0) AS n, round(quantile_cont(f0, 0.1), 1) AS p10,
+        round(quantile_cont(f0, 0.5), 1) AS median, round(quantile_cont(f0, 0.9), 1) AS p90 FROM u GROUP BY 1 HAVING count(f0) > 0""",
     "totals": f"WITH {UTT} SELECT count(*) AS n_records, count(*) FILTER (reliable = false) AS n_f0_unreliable FROM u",
     "vad_threshold": f"""WITH {TRACK}, l AS (SELECT utt, quantile_cont({DB.format("rms")}, 0.95) AS loud, quantile_cont({DB.format("rms")}, 0.05) AS lo FROM t GROUP BY utt)
         SELECT utt, round(least(CASE WHEN loud - lo > 20 THEN greatest(loud - 35, lo + 6) ELSE loud - 35 END, loud - 15), 6) AS threshold_db FROM l""",
@@ -183,7 +202,7 @@ ORACLES: dict[str, str] = {
         - row_number() OVER (PARTITION BY utt, speech ORDER BY frame) AS isl FROM t)
         SELECT utt, min(frame) AS start, max(frame) + 1 AS stop, speech AS value FROM i GROUP BY utt, speech, isl""",
     "vad_bridge_prune": f"WITH {TRACK}, {BRIDGE} SELECT utt, frame, m AND count(*) OVER (PARTITION BY utt, m, isl) >= 5 AS speech FROM i2",
-    "restrict_to_speech": f"WITH {TRACK} SELECT utt, frame, voiced AND speech AND frame < 60 AS voiced FROM t",
+    "restrict_to_speech": f"WITH {TRACK} SELECT t.utt, t.frame, t.voiced AND coalesce(m.speech, false) AS voiced FROM t LEFT JOIN t m ON m.utt = t.utt AND m.frame + 4 = t.frame",
     "f0_in_range": f"""WITH {TRACK} SELECT utt, count(*) FILTER (voiced AND f0 BETWEEN 55 AND 500) AS n,
         round(max(f0) FILTER (voiced AND f0 BETWEEN 55 AND 500), 6) AS top FROM t GROUP BY utt""",
     "octave_global": f"""WITH {TRACK}, m AS (SELECT utt, quantile_cont(log2(f0), 0.5) FILTER (voiced) AS centre, count(*) FILTER (voiced) AS n FROM t GROUP BY utt),
@@ -208,15 +227,13 @@ ORACLES: dict[str, str] = {
     "long_pauses": f"""WITH {TRACK}, g AS (SELECT utt, frame - lag(frame) OVER (PARTITION BY utt ORDER BY frame) AS gap FROM t WHERE rms > 0.25)
         SELECT utt, (count(*) FILTER (gap > 30))::INTEGER AS n_long_pauses FROM g GROUP BY utt""",
     "norm_position": f"WITH {VOICED} SELECT utt, frame, round(t, 6) AS t FROM p",
-    "running_median5": f"""WITH {VOICED}, o AS (SELECT i, n, utt, frame, st, [coalesce(lag(st, 2) OVER w, first_value(st) OVER w), coalesce(lag(st, 1) OVER w, st), st,
-        coalesce(lead(st, 1) OVER w, st), coalesce(lead(st, 2) OVER w, lead(st, 1) OVER w, st)] AS x FROM v WINDOW w AS (PARTITION BY utt ORDER BY frame))
-        SELECT utt, frame, round(CASE WHEN n < 5 THEN st ELSE list_sort(x)[3] END, 6) AS st FROM o""",
-    "savgol_smooth": _savgol(),
+    "running_median5": f"WITH {VOICED}, {MEDIAN} SELECT utt, frame, round(st, 6) AS st FROM m5",
+    "savgol_smooth": f"WITH {VOICED}, {_savgol('v')} SELECT utt, frame, round(st, 6) AS st FROM sg",
     "polyfit_linear": f"WITH {FITS} SELECT utt, round(slope, 6) AS slope FROM z",
     "polyfit_quadratic": f"WITH {FITS} SELECT utt, round(a, 6) AS a, round(b, 6) AS b FROM z",
     "r2_gain": f"WITH {FITS} SELECT utt, round(gain, 6) AS r2_gain FROM z",
     "turning_point": f"WITH {FITS} SELECT utt, round(pos, 4) AS turn_position, round(depth, 4) AS turn_depth FROM z",
-    "head_tail_delta": f"WITH {CONTOUR} SELECT utt, round(delta, 6) AS delta FROM h",
+    "head_tail_delta": f"WITH {VOICED}, {_head('p')} SELECT utt, round(delta, 6) AS delta FROM h",
     "contour_shape": f"WITH {CONTOUR} SELECT utt, shape AS contour_shape FROM k",
     "contour_dynamics": f"WITH {CONTOUR} SELECT utt, dyn AS contour_dynamics FROM k",
     "contour_confidence": f"WITH {CONTOUR} SELECT utt, conf AS contour_confidence FROM k",

@@ -70,12 +70,12 @@ def report_label_counts(spark, sf_dir):
 
 @query
 def report_range_spread(spark, sf_dir):
-    return report.range_spread(V.utterances(spark, sf_dir), digits=6)
+    return report.range_spread(V.utterances(spark, sf_dir))
 
 
 @query
 def report_f0_by_gender(spark, sf_dir):
-    return report.f0_by_gender(V.utterances(spark, sf_dir), digits=6)
+    return report.f0_by_gender(V.utterances(spark, sf_dir))
 
 
 @query
@@ -100,8 +100,7 @@ def vad_bridge_prune(spark, sf_dir):
 
 @query
 def restrict_to_speech(spark, sf_dir):
-    t = V.speech_track(spark, sf_dir)
-    return frames.restrict_to_speech(t.drop("speech"), t.where("frame < 60")).select("utt", "frame", "voiced")
+    return frames.restrict_to_speech(V.track(spark, sf_dir), V.late_mask(spark, sf_dir)).select("utt", "frame", "voiced")
 
 
 @query
