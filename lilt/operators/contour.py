@@ -1,7 +1,7 @@
 """Intonation contour: shape, dynamics and confidence from the voiced frames of an utterance.
 
-Least squares use closed forms of centred sums, so a contour is one aggregation; smoothing and positions are windows over
-the utterance.
+Least squares use closed forms of centred sums, so a contour is one chain of windows over the utterance (smoothing, positions)
+and one aggregation.
 """
 
 from __future__ import annotations
@@ -53,38 +53,35 @@ def running_median(voiced: DataFrame, source: str = "st", target: str = "st") ->
 def savgol(voiced: DataFrame, source: str = "st", target: str = "st") -> DataFrame:
     """Quadratic smoothing over 9 points; the ends take the quadratic of the first or last 9; below 9 as it is.
 
-    Every point is a weighted sum of a window of 9 values: its own, or the first or last one of the utterance.
+    Inner points are weighted sums of their own 9 values; the ends need three sums of the first or last 9 of the utterance.
     """
-    i, n = F.row_number().over(in_order()), F.count(F.lit(1)).over(by_utt())
+    own, n = F.row_number().over(in_order()), F.count(F.lit(1)).over(by_utt())
     around = {f"_s{k}": (F.lag(source, -k).over(in_order()) if k < 0 else F.lead(source, k).over(in_order())) for k in range(-4, 5)}
-    whole = in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = {f"_h{k}": F.nth_value(source, k + 1).over(whole) for k in range(9)}
-    back = by_utt().orderBy(F.col("frame").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges |= {f"_l{k}": F.nth_value(source, 9 - k).over(back) for k in range(9)}
-    out = voiced.withColumns({"_i": i, "_n": n} | around | edges)
+    i, ends = F.col("_i"), {"_h": (F.col("_i") <= 9, F.col("_i") - 5), "_l": (F.col("_i") > F.col("_n") - 9, F.col("_i") - F.col("_n") + 4)}
+    sums = {f"{e}{k}": F.sum(F.when(inside, F.col(source) * u**k)).over(by_utt()) for e, (inside, u) in ends.items() for k in range(3)}
+    out = voiced.withColumns({"_i": own, "_n": n} | around).withColumns(sums)
     inner = sum((F.col(f"_s{k - 4}") * w for k, w in enumerate(SAVGOL)), F.lit(0.0)) / 231
-    value = F.when(F.col("_n") < 9, F.col(source))
-    for j in range(4):
-        weights = quadratic_weights(j - 4)
-        value = value.when(F.col("_i") == j + 1, sum((F.col(f"_h{k}") * w for k, w in enumerate(weights)), F.lit(0.0)))
-        weights = quadratic_weights(4 - j)
-        value = value.when(F.col("_i") == F.col("_n") - j, sum((F.col(f"_l{k}") * w for k, w in enumerate(weights)), F.lit(0.0)))
-    value = value.otherwise(inner)
-    return out.withColumn(target, value).drop("_i", "_n", *around, *edges)
-
-
-def quadratic_weights(x: float) -> list[float]:
-    """Weights of 9 values at -4 to 4 whose sum is their least-squares quadratic at x."""
+    fitted = {e: quadratic(*[F.col(f"{e}{k}") for k in range(3)], u) for e, (_, u) in ends.items()}
+    value = F.when(F.col("_n") < 9, F.col(source)).when(i <= 4, fitted["_h"]).when(i > F.col("_n") - 4, fitted["_l"]).otherwise(inner)
+    return out.withColumn(target, value).drop("_i", "_n", *around, *sums)
+
+
+def quadratic(y0: Column, y1: Column, y2: Column, u: Column) -> Column:
+    """At u, the least-squares quadratic of 9 values at -4 to 4, from their sums with weights 1, u and u squared."""
     s0, s2, s4 = 9, 60, 708
     d = s0 * s4 - s2 * s2
-    return [(s4 - s2 * u * u) / d + x * u / s2 + x * x * (s0 * u * u - s2) / d for u in range(-4, 5)]
+    return (s4 * y0 - s2 * y2) / d + y1 / s2 * u + (s0 * y2 - s2 * y0) / d * u * u
 
 
-def moments(rows: DataFrame, x: str = "t", y: str = "st") -> DataFrame:
-    """(utt, n, mean_t, s2, s3, s4, c1, c2, sst): centred sums for linear and quadratic least squares."""
-    base = rows.withColumns({"_x": F.col(x) - F.avg(x).over(by_utt()), "_y": F.col(y) - F.avg(y).over(by_utt())})
+def centred(rows: DataFrame, x: str = "t", y: str = "st") -> DataFrame:
+    """rows with ``_x`` and ``_y``: x and y less their means in the utterance."""
+    return rows.withColumns({"_x": F.col(x) - F.avg(x).over(by_utt()), "_y": F.col(y) - F.avg(y).over(by_utt())})
+
+
+def moment_sums(x: str = "t") -> list[Column]:
+    """Aggregates over centred() rows: n, mean_t, s2, s3, s4, c1, c2, sst."""
     power = lambda k: F.sum(F.pow("_x", F.lit(k)))
-    return base.groupBy("utt").agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.avg(x).alias("mean_t"),
         power(2).alias("s2"),
@@ -93,7 +90,12 @@ def moments(rows: DataFrame, x: str = "t", y: str = "st") -> DataFrame:
         F.sum(F.col("_x") * F.col("_y")).alias("c1"),
         F.sum(F.col("_x") * F.col("_x") * F.col("_y")).alias("c2"),
         F.sum(F.col("_y") * F.col("_y")).alias("sst"),
-    )
+    ]
+
+
+def moments(rows: DataFrame, x: str = "t", y: str = "st") -> DataFrame:
+    """(utt, n, mean_t, s2, s3, s4, c1, c2, sst): centred sums for linear and quadratic least squares."""
+    return centred(rows, x, y).groupBy("utt").agg(*moment_sums(x))
 
 
 def fits(sums: DataFrame) -> DataFrame:
@@ -112,10 +114,15 @@ def fits(sums: DataFrame) -> DataFrame:
     return out.withColumns({"r2_gain": F.col("r2_quadratic") - F.col("r2_linear"), "turn_position": vertex, "turn_depth": depth}).drop("_b")
 
 
-def head_tail(rows: DataFrame) -> DataFrame:
-    """(utt, delta): median of the last quarter less that of the first, bounds included."""
+def head_tail_delta() -> Column:
+    """Aggregate: median of the last quarter less that of the first, bounds included."""
     part = lambda c: p(F.when(c, F.col("st")), 0.5)
-    return rows.groupBy("utt").agg((part(F.col("t") >= 0.75) - part(F.col("t") <= 0.25)).alias("delta"))
+    return part(F.col("t") >= 0.75) - part(F.col("t") <= 0.25)
+
+
+def head_tail(rows: DataFrame) -> DataFrame:
+    """(utt, delta): see head_tail_delta()."""
+    return rows.groupBy("utt").agg(head_tail_delta().alias("delta"))
 
 
 def shape(delta: Column, position: Column, depth: Column, gain: Column) -> Column:
@@ -159,11 +166,10 @@ def gate(contours: DataFrame, reliable: str = "f0_reliable") -> DataFrame:
 
 def contours(track: DataFrame, smooth: bool = True) -> DataFrame:
     """Contour measures by utterance of a track (utt, frame, f0, voiced); utterances without a voiced frame get the null row."""
-    voiced = voiced_frames(track)
-    smoothed = savgol(running_median(voiced)) if smooth else voiced
-    placed = positions(smoothed)
-    spread = placed.groupBy("utt").agg((p("st", 0.95) - p("st", 0.05)).alias("range_st"))
-    measured = fits(moments(placed)).join(head_tail(placed), "utt").join(spread, "utt").join(long_pauses(voiced), "utt")
+    voiced = frame_gaps(voiced_frames(track))
+    placed = centred(positions(savgol(running_median(voiced)) if smooth else voiced))
+    pauses = F.count_if(F.col("gap") > S.PAUSE_FRAMES).cast("int").alias("n_long_pauses")
+    measured = fits(placed.groupBy("utt").agg(*moment_sums(), head_tail_delta().alias("delta"), (p("st", 0.95) - p("st", 0.05)).alias("range_st"), pauses))
     seconds = F.coalesce(F.col("n") * S.HOP_S, F.lit(0.0))
     out = track.select("utt").distinct().join(measured, "utt", "left").withColumn("_s", seconds)
     shaped = (F.col("_s") >= S.MIN_SHAPE_S - 1e-9) & (F.col("n") >= 2)
