@@ -60,6 +60,34 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source))
 
 
+class Generations:
+    """A memo of two generations: what the younger one hasn't seen but the older one has moves over."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old, self.new = most, {}, {}, []
+
+    def lacking(self, keys: set) -> list:
+        """The keys in neither generation, to be put into the younger one; the others are in the younger one afterwards."""
+        old, young = self.old, self.young
+        missing = keys.difference(young)
+        if old:
+            known = missing.intersection(old)
+            young.update(zip(known, map(old.__getitem__, known), strict=True))
+            missing -= known
+        out = list(missing)
+        self.new += out
+        return out
+
+    def trim(self, longest: int) -> None:
+        """Forgets new keys that are longer, and the older generation once the younger one is full."""
+        for key in self.new:
+            if len(key) > longest:
+                self.young.pop(key, None)
+        self.new = []
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered; emptied by trim() once it holds MEMO_WORDS."""
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lilt.llm.common import append_columns, checkpoint_dir, cut, partitions
+from lilt.llm.common import Generations, append_columns, checkpoint_dir, cut, partitions
 
 #: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered.
 MEMO_WORDS, MEMO_PIECES, MEMO_BYTES = 450_000, 250_000, 64
@@ -43,31 +43,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else next(other) for b in range(256)]
 
 
-class Generations:
-    """A memo of two generations: what the younger one hasn't seen but the older one has moves over."""
-
-    def __init__(self, most: int) -> None:
-        self.most, self.young, self.old = most, {}, {}
-
-    def lacking(self, keys: set) -> list:
-        """The keys in neither generation; the others are in the younger one afterwards."""
-        old, young, out = self.old, self.young, []
-        for key in keys:
-            if key not in young:
-                if (value := old.get(key)) is None:
-                    out.append(key)
-                else:
-                    young[key] = value
-        return out
-
-    def trim(self, long: list) -> None:
-        """Forgets long keys, and the older generation once the younger one is full."""
-        for key in long:
-            self.young.pop(key, None)
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-
-
 class WordTokenizer:
     """A tokenizer of the tokenizers library that drops white space, asked once for each new word or piece of a word.
 
@@ -114,7 +89,7 @@ class WordTokenizer:
             found = self.tokenizer.encode_batch_fast([text for _, text in part], add_special_tokens=False)
             for (w, _), e in zip(part, found, strict=True):
                 words[w] = array("i", e.ids).tobytes()
-        self.pieces.trim([p for p in fresh if len(p) > MEMO_BYTES])
+        self.pieces.trim(MEMO_BYTES)
 
     def ids_of(self, words: list[bytes]) -> list[bytes]:
         """Packed little-endian 32-bit ids of each word."""
@@ -123,7 +98,7 @@ class WordTokenizer:
             new = self.words.lacking({w for w, ids in zip(words, found, strict=True) if ids is None})
             self.learn(new)
             found = list(map(self.words.young.__getitem__, words))
-            self.words.trim([w for w in new if len(w) > MEMO_BYTES])
+            self.words.trim(MEMO_BYTES)
         return found
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:

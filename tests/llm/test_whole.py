@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 
 import public_tokenizers
@@ -9,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import language, licenses, token_files
+from lilt.llm import byte_bpe, language, licenses, token_files
+from lilt.llm.common import Generations
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -45,3 +47,33 @@ def test_bare_creative_commons_names_have_their_labels():
         assert [(d.label, d.start) for d in found.detections] == [(name, 1)] and name in found.labels
     assert "cc-by-sa" in licenses.scan(b"Creative Commons Attribution-ShareAlike").labels
     assert licenses.scan(b"cc bysa, cc0x").labels == []
+
+
+def test_sweeps_agree_with_single_queues(monkeypatch):
+    bpe = byte_bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    r = random.Random(8)
+    pieces = list({"".join(r.choice("aaabeinrst ") for _ in range(r.randrange(1, 40))).encode() for _ in range(900)} | {b"a" * n for n in range(1, 40)} | {"straße".encode() * n for n in (1, 9)})
+    alone = [bpe.merge([bpe.of_byte[b] for b in p]) for p in pieces]
+    for sparse in (0, 4, 1000):
+        monkeypatch.setattr(byte_bpe, "SPARSE", sparse)
+        assert bpe.sweep(pieces) == alone
+
+
+def test_a_merge_that_makes_a_lower_rank_is_done_again(tmp_path, monkeypatch):
+    tokens = [bytes([b]) for b in range(256)] + [b"xabc", b"xa", b"bc", b"abc"]
+    path = tmp_path / "odd.ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    bpe, text = byte_bpe.ByteBPE(str(path), r"\S+"), b"xabcxabc"
+    assert bpe.sweep([text, b"bcxab"]) == [bpe.merge([bpe.of_byte[b] for b in t]) for t in (text, b"bcxab")] == [[256, 256], [258, 257, 98]]
+
+
+def test_memos_forget_what_is_long_and_old():
+    memo = Generations(3)
+    for keys in ({"a", "bb"}, {"c" * 70}, {"d", "e"}, {"a"}):
+        memo.young.update({k: k for k in memo.lacking(keys)})
+        memo.trim(64)
+    assert set(memo.young) == {"a"} and set(memo.old) == {"a", "bb", "d", "e"}
+    codec = byte_bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    one = byte_bpe.TextCodec(codec)
+    one.encode(["x" * 500_000 + " " + "漢字" * 9000])
+    assert not one.chunks.young and not one.pre_tokens.young
