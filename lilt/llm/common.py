@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -16,15 +17,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The six ASCII white-space characters, for trimming.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Words remembered by a worker before its memo is emptied.
-MEMO_WORDS = 300_000
+#: Words remembered by a task before its memo is emptied, and the longest one remembered.
+MEMO_WORDS, MEMO_BYTES = 150_000, 64
+#: Rows that may be broadcast once they have been counted.
+BROADCAST_ROWS = 1_000_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage; one of our own only where the session names none (tests)."""
+    """The shared folder for cut lineage, as the session names it; one of our own only in local mode (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lilt-checkpoint-"))
     return named or sc.getCheckpointDir()
 
@@ -38,15 +43,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def partitions(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, which has that many rows, marked for broadcasting if they are few; beyond that joins shuffle it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def partitions(spark: SparkSession, rows: int = 0, each: int = 1) -> int:
+    """The session's number of shuffle partitions, or more so that one has about ``each`` of ``rows``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000, mb: int = 16) -> None:
-    """Bounds what an Arrow batch handed to Python may hold, in rows and in bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+    """Lowers the session's limits of an Arrow batch handed to Python, in rows and in bytes, where they are higher.
+
+    Plans take the limits that hold when they are started, after an operator has returned, so they stay lowered.
+    """
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    name = "spark.sql.execution.arrow.{}PerBatch".format
+    if not 0 < int(spark.conf.get(name("maxRecords"))) <= rows:
+        spark.conf.set(name("maxRecords"), str(rows))
+    if not 0 < limit(spark.conf.get(name("maxBytes"))) <= mb << 20:
+        spark.conf.set(name("maxBytes"), f"{mb}m")
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine at the end of a task: the worker may wait long for its next one, beside others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -89,10 +113,15 @@ class Generations:
 
 
 class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembered; emptied by trim() once it holds MEMO_WORDS."""
+    """word (bytes) -> 64-bit hash; short words are remembered, until trim() finds MEMO_WORDS of them.
+
+    A task makes its own, so nothing stays in a worker that waits for its next task.
+    """
 
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= MEMO_BYTES:
+            self[word] = h
         return h
 
     def trim(self) -> None:
@@ -100,14 +129,6 @@ class WordHashes(dict):
             self.clear()
 
 
-_HASHES = WordHashes()
-
-
-def word_memo() -> WordHashes:
-    """The worker's memo of word hashes."""
-    return _HASHES
-
-
 def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], new: list[T.StructField], only: list[str] | None = None) -> DataFrame:
     """docs with the columns that a kernel computes from each Arrow batch.
 
@@ -125,6 +146,8 @@ def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.Recor
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + kernel(batch), names=keep + names)
+        del kernel
+        give_back()
 
     return read.mapInArrow(run, schema)
 

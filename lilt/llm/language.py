@@ -6,12 +6,11 @@ gradient descent in numpy on a sample of labelled rows, bounded for each languag
 temperature and the confidence below which a document is rejected.
 
 Since everything after the hashing is linear, the trained model is one table of logits by bucket, and a word's part of a
-document's logits is remembered by the worker.
+document's logits is remembered by the task.
 """
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -26,8 +25,8 @@ from lilt.llm.common import append_columns, bounded_batches
 
 #: Predicted for a text without a letter.
 UNDETERMINED = "und"
-#: Words remembered by a worker before its memo is emptied, documents looked at together.
-MEMO_WORDS, DOCS = 400_000, 64
+#: Words remembered by a task before its memo is emptied, the longest one remembered, documents looked at together.
+MEMO_WORDS, MEMO_CHARS, DOCS = 150_000, 64, 64
 
 
 def letters_of(word: str) -> bytes:
@@ -79,6 +78,7 @@ class WordLogits:
     def empty(self) -> None:
         self.memo: dict[str, int] = {}
         self.rows: dict[bytes, int] = {b"": 0}
+        self.used = 1
         self.table = np.zeros((4096, len(self.model.languages) + 1))
 
     def learn(self, words: list[str]) -> None:
@@ -86,9 +86,10 @@ class WordLogits:
         letters = list(map(letters_of, words))
         new = list({x for x in letters if x not in self.rows})
         if new:
-            first, k = len(self.rows), len(self.model.languages)
-            self.rows.update(zip(new, range(first, first + len(new)), strict=True))
-            while len(self.table) < len(self.rows):
+            first, k = self.used, len(self.model.languages)
+            self.used += len(new)
+            self.rows.update(zip(new, range(first, self.used), strict=True))
+            while len(self.table) < self.used:
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             found, owner = subwords(new, len(self.model.logits))
             part = self.table[first : first + len(new)]
@@ -102,27 +103,20 @@ class WordLogits:
         out = np.zeros((len(texts), self.table.shape[1]))
         for at in range(0, len(texts), DOCS):
             split = [t.split() if t else [] for t in texts[at : at + DOCS]]
-            self.learn(list(set().union(*split).difference(self.memo)))
+            new = list(set().union(*split).difference(self.memo))
+            self.learn(new)
             for i, words in enumerate(split):
                 if words:
                     out[at + i] = self.table[list(map(self.memo.__getitem__, words))].sum(axis=0)
-            if len(self.memo) > MEMO_WORDS:
+            for w in (w for w in new if len(w) > MEMO_CHARS):
+                del self.memo[w]
+                self.rows.pop(letters_of(w), None)
+            self.rows[b""] = 0
+            if self.used > MEMO_WORDS or len(self.memo) > MEMO_WORDS:
                 self.empty()
         return out
 
 
-_WORDS: dict[bytes, WordLogits] = {}
-
-
-def word_logits(model: Model) -> WordLogits:
-    """The worker's memo for a model; one model at a time."""
-    key = hashlib.sha256(model.logits.tobytes()).digest()
-    if key not in _WORDS:
-        _WORDS.clear()
-        _WORDS[key] = WordLogits(model)
-    return _WORDS[key]
-
-
 def _features(buckets: int):
     """Kernel: the distinct buckets of a text and how often each occurs, packed."""
 
@@ -267,7 +261,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", only: list[s
     bounded_batches(docs.sparkSession)
 
     def make():
-        words = word_logits(model)
+        words = WordLogits(model)
 
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
             totals = words.of(batch.column(text_col).to_pylist())

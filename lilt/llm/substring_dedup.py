@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lilt.llm import blocks as B
-from lilt.llm.common import WordHashes, bounded_batches, cut, word_memo
+from lilt.llm.common import WordHashes, bounded_batches, cut, give_back
 
 #: Distinct hashes a bucket is planned for.
 BUCKET_HASHES = 4_000_000
@@ -64,7 +64,7 @@ def _bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def _send(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
+        memo = WordHashes()
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("docs"), strict=True):
                 w = BlockWindows(packed.as_py(), window, memo)
@@ -107,7 +107,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 def _apply(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
+        memo = WordHashes()
         for batch in batches:
             for packed, answers in zip(batch.column("docs"), batch.column("answers").to_pylist(), strict=True):
                 w = BlockWindows(packed.as_py(), window, memo)
@@ -159,7 +159,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     blocks = cut(B.make_blocks(docs, id_col, text_col))
     words = (blocks.agg(F.sum("n_bytes")).first()[0] or 0) / 6
     bits = max(0, int(np.ceil(np.log2(max(1.0, words / BUCKET_HASHES)))))
-    bounded_batches(spark, rows=1)
+    bounded_batches(spark)
     sent = blocks.select("block", "docs").mapInArrow(_send(window, bits), "bucket long, block long, low long, hashes binary, docs binary")
     answers = sent.groupBy("bucket").applyInArrow(_count, "block long, bucket long, earlier binary")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "earlier")).alias("answers"))
