@@ -3,7 +3,7 @@
 Documents with the same set are one set from the start. Then:
 
 * Light sets (at most ``boundary`` shingles) enumerate, for each size a partner may have, their subsets of the size that
-  an overlap must reach; two light sets that share such a subset are linked, with nothing left to verify.
+  an overlap must reach; two light sets share such a subset if and only if they are linked.
 * Heavy sets go into inverted lists and each list is scanned for links. Lists of single shingles would hold a third
   of all documents for a common passage, so a list stands for a whole part of a set: shingles are dealt by hash to one part
   more than two linked sets can differ in, plus spare ones for parts that stay empty, so linked sets agree on a part
@@ -11,8 +11,8 @@ Documents with the same set are one set from the start. Then:
 * The boundary is the size up to which enumerating costs less than the lists and verification of a set; light sets
   that may have heavy partners enter the lists as well.
 
-Sets that share lists are verified together, grouped by the smallest set of a list: a group is cut into tiles of bounded
-size, a pair of tiles multiplies its 0/1 matrices and returns only the links of a spanning forest. So neither a list nor a
+Sets that share lists or subsets are verified together, which only equal hashes of different subsets need, grouped by the
+smallest set of a list: a group is cut into tiles of bounded size, a pair of tiles multiplies its 0/1 matrices and returns only the links of a spanning forest. So neither a list nor a
 group of near copies is ever expanded into pairs of rows, and no link between components is lost.
 """
 
@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lilt.llm import blocks as B
-from lilt.llm.common import WordHashes, bounded_batches, cut, utf8, word_memo
+from lilt.llm.common import WordHashes, bounded_batches, cut, give_back, small, utf8
 from lilt.llm.components import components
 
 #: Share of sets that may have more empty parts than there are spare ones; such a set lists its empty parts as well.
 CROWDED = 1e-7
-#: Low bits of a key: it links without verification; its set is the larger one of the sizes it is for; the sizes are equal.
-SURE, LARGER, EQUAL = 1, 2, 4
-#: Sets in a tile, hashes in a bucket, columns of a matrix and rows of a comparison at a time.
-TILE, BUCKET_KEYS, COLUMNS, ROWS = 3072, 2_000_000, 2048, 256
+#: Low bits of a key: it is for two sizes of light sets; its set is the larger one; the sizes are equal.
+LIGHT, LARGER, EQUAL = 1, 2, 4
+#: Sets and shingles in a tile, keys in a bucket, keys that a task packs together, columns of a matrix and rows of a comparison at a time.
+TILE, TILE_SHINGLES, BUCKET_KEYS, PACK_KEYS, COLUMNS, ROWS = 2048, 600_000, 1_000_000, 500_000, 1024, 256
 
 
 class Sizes:
@@ -95,6 +95,15 @@ class Sizes:
     def heavy_cost(self, size: int) -> int:
         return sum(self.parts(level)[0] for level in self.levels(size)) + size
 
+    def keys(self, size: int) -> int:
+        """Keys that a set of this size emits, at most."""
+        light = sum(comb(size, self.overlap(size, other)) for other in self.partners(size) if self.has_subsets(size, other)) if self.is_light(size) else 0
+        return light + (sum(self.parts(level)[0] for level in self.levels(size)) if self.is_listed(size) else 0)
+
+    def has_subsets(self, size: int, other: int) -> bool:
+        """Whether a light set of a size lists subsets for partners of another."""
+        return 1 <= other <= self.boundary and self.overlap(size, other) <= size and self.overlap(size, other) < max(size, other)
+
     def is_light(self, size: int) -> bool:
         return size <= self.boundary
 
@@ -133,12 +142,12 @@ def light_keys(hashes: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
     mixed = B.spread(hashes)
     total = mixed.sum(dtype=np.uint64)
     for other in sizes.partners(n):
-        take = sizes.overlap(n, other)
-        if other > sizes.boundary or take > n or take >= max(n, other) or other < 1:
+        if not sizes.has_subsets(n, other):
             continue
+        take = sizes.overlap(n, other)
         gone = np.array([mixed[list(c)].sum(dtype=np.uint64) for c in combinations(range(n), n - take)], np.uint64)
         label = B.spread(np.array([min(n, other) << 32 | max(n, other)], np.uint64))
-        role = SURE | (EQUAL if other == n else LARGER if other < n else 0)
+        role = LIGHT | (EQUAL if other == n else LARGER if other < n else 0)
         out.append(B.spread(total - gone + label) & ~np.uint64(7) | np.uint64(role))
     return out
 
@@ -159,7 +168,7 @@ def list_keys(sets: list[np.ndarray], level: int, parts: int, spare: int) -> tup
 
 def _describe(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
+        memo = WordHashes()
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
@@ -172,49 +181,64 @@ _KEYS = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("sets", pa.bi
 
 
 def _emit(n: int, sizes: Sizes, bits: int):
+    def keys_of(found: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of some sets and the set of each."""
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        listed: dict[int, list[int]] = {}
+        for i, s in found.items():
+            if sizes.is_light(len(s)):
+                for k in light_keys(s, sizes):
+                    keys.append(k)
+                    owners.append(np.full(len(k), i, np.int64))
+            if sizes.is_listed(len(s)):
+                for level in sizes.levels(len(s)):
+                    listed.setdefault(level, []).append(i)
+        for level, ids in listed.items():
+            for at in range(0, len(ids), 256):
+                part = ids[at : at + 256]
+                k, owner = list_keys([found[i] for i in part], level, *sizes.parts(level))
+                keys.append(k)
+                owners.append(np.array(part, np.int64)[owner])
+        return np.concatenate(keys), np.concatenate(owners)
+
+    def packed(k: np.ndarray, o: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """A row for each bucket that has some of these keys."""
+        order = np.argsort(k, kind="stable")
+        k, o = k[order], o[order]
+        ends = np.append(np.searchsorted(k, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else [], len(k)).astype(int).tolist()
+        at, rows = 0, []
+        for bucket, end in enumerate(ends):
+            if end > at:
+                rows.append({"bucket": bucket, "keys": B.pack_sorted(k[at:end]), "sets": B.pack_planes(o[at:end].view(np.uint64))})
+            at = end
+        for start in range(0, len(rows), 1000):
+            yield pa.RecordBatch.from_pylist(rows[start : start + 1000], schema=_KEYS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
+        memo, held, count = WordHashes(), [], 0
         for batch in batches:
-            found: dict[int, np.ndarray] = {}
-            for t in utf8(batch.column(1)):
-                s = shingles(t, n, memo)
-                if len(s):
-                    found[set_id(s)] = s  # copies in the batch count once
-            memo.trim()
-            keys: list[np.ndarray] = []
-            owners: list[np.ndarray] = []
-            listed: dict[int, list[int]] = {}
-            for i, s in found.items():
-                if sizes.is_light(len(s)):
-                    for k in light_keys(s, sizes):
-                        keys.append(k)
-                        owners.append(np.full(len(k), i, np.int64))
-                if sizes.is_listed(len(s)):
-                    for level in sizes.levels(len(s)):
-                        listed.setdefault(level, []).append(i)
-            for level, ids in listed.items():
-                for at in range(0, len(ids), 256):
-                    part = ids[at : at + 256]
-                    k, owner = list_keys([found[i] for i in part], level, *sizes.parts(level))
-                    keys.append(k)
-                    owners.append(np.array(part, np.int64)[owner])
-            if not keys:
-                continue
-            k, o = np.concatenate(keys), np.concatenate(owners)
-            order = np.argsort(k, kind="stable")
-            k, o = k[order], o[order]
-            ends = np.append(np.searchsorted(k, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else [], len(k)).astype(int).tolist()
-            at, rows = 0, []
-            for bucket, end in enumerate(ends):
-                if end > at:
-                    rows.append({"bucket": bucket, "keys": B.pack_sorted(k[at:end]), "sets": B.pack_planes(o[at:end].view(np.uint64))})
-                at = end
-            yield pa.RecordBatch.from_pylist(rows, schema=_KEYS)
+            texts = utf8(batch.column(1))
+            for start in range(0, len(texts), 1024):
+                found: dict[int, np.ndarray] = {}
+                for t in texts[start : start + 1024]:
+                    s = shingles(t, n, memo)
+                    if len(s):
+                        found[set_id(s)] = s  # copies side by side count once
+                memo.trim()
+                held.append(keys_of(found))
+                count += len(held[-1][0])
+                if count >= PACK_KEYS:
+                    yield from packed(*map(np.concatenate, zip(*held, strict=True)))
+                    held, count = [], 0
+        if count:
+            yield from packed(*map(np.concatenate, zip(*held, strict=True)))
+        del memo, held
+        give_back()
 
     return run
 
 
-_MEMBERS = pa.schema([("leader", pa.int64()), ("member", pa.int64()), ("sure", pa.bool_())])
+_MEMBERS = pa.schema([("leader", pa.int64()), ("member", pa.int64())])
 
 
 def _scan(table: pa.Table) -> pa.Table:
@@ -228,15 +252,15 @@ def _scan(table: pa.Table) -> pa.Table:
     keys, sets, larger = keys[new], sets[new], larger[new]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     length, larger = np.diff(np.append(first, len(keys))), np.add.reduceat(larger.astype(np.int64), first)
-    one_sided = ((keys[first] & np.uint64(SURE | EQUAL)) == SURE) & ((larger == 0) | (larger == length))
+    one_sided = ((keys[first] & np.uint64(LIGHT | EQUAL)) == LIGHT) & ((larger == 0) | (larger == length))
     leader, shared = np.repeat(sets[first], length), np.repeat((length > 1) & ~one_sided, length)
-    rows = np.unique(np.stack([leader[shared], sets[shared], (keys[shared] & np.uint64(SURE)).astype(np.int64)], axis=1), axis=0)
-    return pa.Table.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2] == 1)], schema=_MEMBERS)
+    rows = np.unique(np.stack([leader[shared], sets[shared]], axis=1), axis=0)
+    return pa.Table.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], schema=_MEMBERS)
 
 
 def _load(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
+        memo = WordHashes()
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
@@ -339,25 +363,28 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = cut(texts.mapInArrow(_describe(n), "doc_id long, n_shingles long, set_id long"))
     named = known.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
-    sets = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    sets = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
 
     sizes = Sizes(percent)
-    expected = (named.agg(F.sum("n_shingles")).first()[0] or 0) / 4
+    # at most 256 classes of small sizes and 16 for each doubling beyond
+    step = F.when(F.col("n_shingles") < 256, F.col("n_shingles")).otherwise(F.floor(F.log2("n_shingles") * 16) + 256)
+    histogram = named.groupBy(step.alias("step")).agg(F.max("n_shingles").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    expected = sum(r["n"] * sizes.keys(r["size"]) for r in histogram)
     bits = max(0, int(np.ceil(np.log2(max(1.0, expected / BUCKET_KEYS)))))
     keys = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_emit(n, sizes, bits), "bucket long, keys binary, sets binary")
-    members = cut(keys.groupBy("bucket").applyInArrow(_scan, "leader long, member long, sure boolean"))
-
-    sure = members.where("sure").select(F.col("leader").alias("a"), F.col("member").alias("b"))
-    check = members.where("not sure").select("leader", "member").distinct()
-    tiles = check.groupBy("leader").agg(F.expr(f"cast(ceil(count(1) / {TILE}) as int)").alias("tiles"))
-    needed = check.select("member").distinct().join(sets, F.col("member") == F.col("set_id")).select("member", F.col("rep").alias("doc_id"))
-    loaded = cut(texts.join(needed, "doc_id").select("member", "text").mapInArrow(_load(n), "member long, hashes binary").dropDuplicates(["member"]))
-    dealt = check.join(tiles, "leader").withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
+    members = cut(keys.groupBy("bucket").applyInArrow(_scan, "leader long, member long").distinct())
+
+    needed = cut(members.select("member").distinct().join(sets, F.col("member") == F.col("set_id")).select("member", F.col("rep").alias("doc_id"), "n"))
+    few = small(needed, needed.count())
+    loaded = cut(texts.join(few, "doc_id").select("member", "text").mapInArrow(_load(n), "member long, hashes binary").dropDuplicates(["member"]))
+    sized = members.join(few.select("member", "n"), "member")
+    tiles = sized.groupBy("leader").agg(F.expr(f"cast(greatest(ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"))
+    dealt = members.join(tiles, "leader").withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
     paired = dealt.select("leader", "member", "tile", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other"))
     paired = paired.select("leader", "member", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
     found = paired.join(loaded, "member").groupBy("leader", "i", "j").applyInArrow(_verify(percent), "a long, b long")
 
-    stars = components(sure.union(found))
+    stars = components(found)
     rooted = sets.join(stars, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("root", "set_id").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     labels = rooted.join(lowest, "root").select("set_id", "component_id")

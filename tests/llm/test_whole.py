@@ -5,13 +5,15 @@ from __future__ import annotations
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import byte_bpe, language, licenses, token_files
-from lilt.llm.common import Generations
+from lilt.llm import byte_bpe, jaccard_join, language, licenses, token_files
+from lilt.llm.common import Generations, WordHashes, bounded_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -77,3 +79,57 @@ def test_memos_forget_what_is_long_and_old():
     one = byte_bpe.TextCodec(codec)
     one.encode(["x" * 500_000 + " " + "漢字" * 9000])
     assert not one.chunks.young and not one.pre_tokens.young
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_planned_keys_bound_the_real_ones(percent):
+    sizes, r = jaccard_join.Sizes(percent), np.random.default_rng(6)
+    for size in (1, 3, 8, 9, 12, 18, 19, 40, 100, 300, 2000):
+        s = np.unique(r.integers(0, 2**64, size, np.uint64))
+        made = sum(map(len, jaccard_join.light_keys(s, sizes))) if sizes.is_light(size) else 0
+        if sizes.is_listed(size):
+            made += sum(len(jaccard_join.list_keys([s], level, *sizes.parts(level))[0]) for level in sizes.levels(size))
+        assert 0.7 * sizes.keys(size) <= made <= sizes.keys(size)
+
+
+def test_equal_hashes_of_subsets_are_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "light_keys", lambda s, sizes: [np.array([8 | jaccard_join.LIGHT | jaccard_join.EQUAL], np.uint64)])
+    rows = [(i, " ".join(f"{i}w{j}" for j in range(9))) for i in range(5)] + [(9, " ".join(f"0w{j}" for j in range(9)))]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 9: 0}
+
+
+def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE_SHINGLES", 150)
+    r = random.Random(3)
+    base = [f"w{r.randrange(500)}" for _ in range(100)]
+    rows = [(i, " ".join([*base[:50], f"x{i}", *base[50:]])) for i in range(12)] + [(50, " ".join(base))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(frame).collect()
+    assert {x.component_id for x in got} == {0}
+
+
+def test_texts_without_blanks(spark):
+    rows = [(i, ("漢字かな" * 30_000) + str(i % 2)) for i in range(4)] + [(7, "x" * 300_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("zz"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(frame, 5, 80).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 0), 3: (1, 1), 7: (1, 7)}
+    memo = WordHashes()
+    assert [memo[w] for w in (b"y" * 65, b"a")] and list(memo) == [b"a"]
+    model = language.Model(("aa", "bb"), np.random.default_rng(1).normal(size=(64, 2)), np.zeros(2))
+    words = language.WordLogits(model)
+    texts = ["x" * 500_000, "x" * 500_000 + " y", "y", "ß" * 70]
+    first = words.of(texts)
+    assert set(words.memo) == {"y"} and np.array_equal(words.of(texts), first)
+
+
+def test_session_limits_are_lowered_once(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "700")
+    bounded_batches(spark)
+    assert spark.conf.get(name) == "700"
+    spark.conf.set(name, "0")
+    bounded_batches(spark)
+    assert spark.conf.get(name) == "2000"
+    spark.conf.set(name, before)
