@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lilt.llm.common import WORD, source_key
+from lilt.llm.common import WORD, cut, source_key
 
 
 def word_count(text: Column) -> Column:
@@ -25,6 +25,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def hexadecimal(text: Column) -> Column:
+    """The first five hexadecimal digits of a text's MD5 as a number: below 2 ** 20."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 5), 16, 10).cast("long")
+
+
 def size_class(size: str) -> Column:
     """Integer class of a size, monotone in it: its bit length and the four bits after the first."""
     return F.expr(f"cast(length(bin({size})) * 16 + (shiftright({size}, cast(greatest(length(bin({size})) - 5, 0) as int)) & 15) as int)")
@@ -74,21 +79,24 @@ def mix(
 
     Every input row returns once, repeated rows and rows with a null id included; ``copies`` says how often the mix
     takes it (0 to max_ratio). A null text has size 0; a null source is a source of its own, the last. Reruns agree:
-    the order and the offsets depend on the rows and the seed alone. An input column named ``mix`` is replaced; an
-    empty table gives an empty table. A source whose sizes are all 0 has target 0 and no copies.
+    the order and the offsets depend on the rows and the seed alone. Whole texts count, whatever their length. An input column
+    named ``mix`` is replaced, all others return unchanged, whatever their names; an empty table gives an empty table. A source
+    whose sizes are all 0 has target 0 and no copies.
     """
-    base = (
-        docs.withColumn("_key", source_key(F.col(source_col)))
-        .withColumn("_size", word_count(F.col(text_col)))
-        .withColumn("_class", size_class("_size"))
-        .withColumn("_bucket", F.coalesce(F.expr(f"pmod(`{id_col}`, {int(buckets)})"), F.lit(0)))
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"]).alias("row"),
+        F.col(id_col).alias("id"),
+        source_key(F.col(source_col)).alias("_key"),
+        word_count(F.col(text_col)).alias("_size"),
     )
+    base = base.withColumn("_class", size_class("_size")).withColumn("_bucket", F.coalesce(hexadecimal(F.col("id").cast("string")) % int(buckets), F.lit(0)))
     group = ["_key", "_class", "_bucket"]
-    counts = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size"))
+    # at most ``buckets`` rows for each of a source's size classes; read three times below
+    counts = cut(base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size")))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     in_class = counts.withColumn("_in_class", F.coalesce(F.sum("_n").over(before(Window.partitionBy("_key", "_class").orderBy("_bucket"))), F.lit(0)))
     classes = counts.groupBy("_key", "_class").agg(F.sum("_n").alias("_n"), F.sum("_size").alias("_size"))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "_key").cast("binary")), 1, 5), 16, 10).cast("double") / F.lit(1048576.0)
+    offset = hexadecimal(F.concat(F.lit(seed), "_key")).cast("double") / F.lit(1048576.0)
     per_class = (
         classes.withColumn("_before", F.coalesce(F.sum("_n").over(before(Window.partitionBy("_key").orderBy("_class"))), F.lit(0)))
         .select("_key", "_class", "_before")
@@ -96,7 +104,7 @@ def mix(
         .withColumn("_offset", offset)
     )
     starts = in_class.select(*group, "_in_class").join(per_class, ["_key", "_class"])
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(id_col, "_size"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("id", "_size"))
     k = F.col("_before") + F.col("_in_class") + F.col("_rank")
     crossed = F.floor(k * F.col("_rate") + F.col("_offset")) - F.floor((k - 1) * F.col("_rate") + F.col("_offset"))
     # a step is at most max_ratio long; least() only guards the last bit of the products
@@ -106,11 +114,11 @@ def mix(
         F.col("_target").alias("target"),
         F.least(crossed, F.lit(int(max_ratio)).cast("long")).alias("copies"),
     )
-    keep = [c for c in docs.columns if c != "mix"]
-    return base.withColumn("_rank", rank).join(starts, group).select(*[F.col(f"`{c}`") for c in keep], mixed.alias("mix"))
+    return base.withColumn("_rank", rank).join(starts, group).select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "mix"], mixed.alias("mix"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of docs as often as mix() takes it, with the columns of docs."""
-    taken = mix(docs, **options).where(F.col("mix.copies") > 0)
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"], F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies"))).alias("_copy")).drop("_copy")
+    mixed = mix(docs, **options)
+    taken = mixed.where(F.col("mix.copies") > 0).select(F.struct(*[F.col(f"`{c}`") for c in mixed.columns if c != "mix"]).alias("row"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies"))).alias("copy"))
+    return taken.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "mix"])

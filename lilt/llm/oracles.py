@@ -37,7 +37,7 @@ s AS (
          CASE WHEN source_size > 0 THEN least(level * w, cap::DOUBLE) / source_size ELSE 0.0 END AS rate,
          ('0x' || substr(md5('mix' || k), 1, 5))::INTEGER / 1048576.0::DOUBLE AS u
   FROM s3),
-r AS (SELECT c.*, row_number() OVER (PARTITION BY k ORDER BY cls, doc_id % 256, doc_id, size) AS i FROM c)
+r AS (SELECT c.*, row_number() OVER (PARTITION BY k ORDER BY cls, coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 5))::INTEGER % 256, 0), doc_id, size) AS i FROM c)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        (size * least(floor(i * rate + u) - floor((i - 1) * rate + u), 3))::BIGINT AS taken
 FROM r JOIN s USING (k)
