@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import byte_bpe, jaccard_join, language, licenses, token_files
+from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, token_files
 from lilt.llm.common import Generations, WordHashes, bounded_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -133,3 +133,42 @@ def test_session_limits_are_lowered_once(spark):
     bounded_batches(spark)
     assert spark.conf.get(name) == "2000"
     spark.conf.set(name, before)
+
+
+CLASHES = ["row", "id", "copy", "doc", "words", "split", "dense", "range", "parts", "h1", "h2", "pos", "line", "key", "keeper", "docs", "_key", "_size", "_class", "_bucket", "_rank", "_target", "_rate", "_before", "_in_class", "_offset", "_source_size", "_n", "_lines", "_dense", "_doc", "_words", "_weight"]
+
+
+@pytest.mark.parametrize("operator", [mixing.mix, mixing.mixed_documents, line_dedup.dedup_lines])
+def test_columns_named_like_internal_ones_return_unchanged(spark, operator):
+    shared = "a line that is long enough to be dropped and shared"
+    rows = [(i, f"w{i} {shared}\n{shared}\nv", "ab"[i % 2]) for i in range(9)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clashing = plain.select("*", *[F.concat(F.lit(f"own {c} "), F.col("doc_id")).alias(c) for c in CLASHES])
+    got = operator(clashing)
+    assert all(r[c] == f"own {c} {r.doc_id}" for r in got.collect() for c in CLASHES)
+    new = [c for c in got.columns if c not in CLASHES]
+    assert sorted(map(str, got.select(new).collect())) == sorted(map(str, operator(plain).select(new).collect()))
+    assert got.columns[: len(clashing.columns)] == clashing.columns
+
+
+@pytest.mark.parametrize(("ranges", "sample"), [(1, 10**6), (8, 10**6), (64, 40)])
+def test_lines_in_split_ranges(spark, monkeypatch, ranges, sample):
+    monkeypatch.setattr(line_dedup, "RANGES", ranges)
+    monkeypatch.setattr(line_dedup, "SAMPLE", sample)
+    r, shared = random.Random(ranges), [f"shared line number {i} of more than forty letters" for i in range(12)]
+    rows = [(i, "\n".join([shared[0]] * (i % 3) + [r.choice(shared[: 1 + i % 12]) for _ in range(r.randrange(9))] + [f"only in {i}, and also long enough to be hashed"])) for i in range(150)]
+    frame = spark.createDataFrame([*rows, (None, shared[0]), rows[3]], "doc_id long, text string").repartition(4)
+    where = {}
+    for i, t in rows:
+        for line in t.split("\n"):
+            where.setdefault(line, set()).add(i)
+    for x in line_dedup.dedup_lines(frame).collect():
+        lines = shared[:1] if x.doc_id is None else rows[x.doc_id][1].split("\n")
+        kept = lines if x.doc_id is None else [line for line in lines if len(where[line]) < 5 or max(where[line]) == x.doc_id]
+        assert (x.text, x.lines.n_dropped) == ("\n".join(kept), len(lines) - len(kept))
+
+
+def test_line_ranges_keep_their_sort(spark):
+    docs = spark.createDataFrame([(1, "x" * 50)], "doc_id long, text string")
+    plan = line_dedup.keep_bitmaps(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [range" in plan and "Window [" in plan
