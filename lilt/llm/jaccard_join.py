@@ -177,7 +177,8 @@ def _describe(n: int):
     return run
 
 
-_KEYS = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("sets", pa.binary())])
+#: A bucket's keys of one pack, ascending; the different sets that have them, ascending; which of these each key is of.
+_KEYS = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("sets", pa.binary()), ("owners", pa.binary())])
 
 
 def _emit(n: int, sizes: Sizes, bits: int):
@@ -209,7 +210,8 @@ def _emit(n: int, sizes: Sizes, bits: int):
         at, rows = 0, []
         for bucket, end in enumerate(ends):
             if end > at:
-                rows.append({"bucket": bucket, "keys": B.pack_sorted(k[at:end]), "sets": B.pack_planes(o[at:end].view(np.uint64))})
+                sets, owners = np.unique(o[at:end].view(np.uint64), return_inverse=True)
+                rows.append({"bucket": bucket, "keys": B.pack_sorted(k[at:end]), "sets": B.pack_sorted(sets), "owners": B.pack_planes(owners)})
             at = end
         for start in range(0, len(rows), 1000):
             yield pa.RecordBatch.from_pylist(rows[start : start + 1000], schema=_KEYS)
@@ -244,7 +246,7 @@ _MEMBERS = pa.schema([("leader", pa.int64()), ("member", pa.int64())])
 def _scan(table: pa.Table) -> pa.Table:
     """For one bucket: the sets of each list of several, with the list's smallest set."""
     keys = np.concatenate([B.unpack_sorted(x.as_py()) for x in table.column("keys")])
-    sets = np.concatenate([B.unpack_planes(x.as_py()).view(np.int64) for x in table.column("sets")])
+    sets = np.concatenate([B.unpack_sorted(x.as_py()).view(np.int64)[B.unpack_planes(y.as_py()).view(np.int64)] for x, y in zip(table.column("sets"), table.column("owners"), strict=True)])
     larger, keys = (keys & np.uint64(LARGER)) > 0, keys & ~np.uint64(LARGER)
     order = np.lexsort((sets, keys))
     keys, sets, larger = keys[order], sets[order], larger[order]
@@ -264,8 +266,12 @@ def _load(n: int):
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
-            rows = [(w, s) for w, s in zip(batch.column(0).to_pylist(), sets, strict=True) if len(s) and set_id(s) == w]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())], names=["member", "hashes"])
+            ok = [len(s) > 0 and set_id(s) == w for w, s in zip(batch.column(0).to_pylist(), sets, strict=True)]
+            packed = pa.array([s.tobytes() for s, good in zip(sets, ok, strict=True) if good], pa.binary())
+            kept = batch.filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([kept.column(0), packed, kept.column(2)], names=["member", "hashes", "to"])
+        del memo
+        give_back()
 
     return run
 
@@ -350,6 +356,17 @@ def forest(hit: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[in
     return edges
 
 
+def gathered(members: DataFrame) -> DataFrame:
+    """members (leader, member), every leader among its own, with fewer groups: those of leaders that share a smaller leader are one.
+
+    Near copies share many lists, whose smallest sets differ; a leader gives its group to the smallest leader that it has
+    itself, and that one to its own, so a set's shingles travel to fewer groups. Sets that shared a group still do.
+    """
+    low = members.groupBy("member").agg(F.min("leader").alias("low"))
+    top = low.join(low.select(F.col("member").alias("low"), F.col("low").alias("top")), "low").select(F.col("member").alias("leader"), "top")
+    return members.join(top, "leader").select(F.col("top").alias("leader"), "member").distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents whose shingle sets have Jaccard >= percent / 100.
 
@@ -363,7 +380,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = cut(texts.mapInArrow(_describe(n), "doc_id long, n_shingles long, set_id long"))
     named = known.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
-    sets = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
+    copies = named.groupBy("set_id", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("n"))
+    sets = copies.groupBy("set_id").agg(F.min(F.struct("doc_id", "rows")).alias("rep"), F.min("n").alias("n"))
 
     sizes = Sizes(percent)
     # at most 256 classes of small sizes and 16 for each doubling beyond
@@ -371,22 +389,23 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     histogram = named.groupBy(step.alias("step")).agg(F.max("n_shingles").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     expected = sum(r["n"] * sizes.keys(r["size"]) for r in histogram)
     bits = max(0, int(np.ceil(np.log2(max(1.0, expected / BUCKET_KEYS)))))
-    keys = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_emit(n, sizes, bits), "bucket long, keys binary, sets binary")
-    members = cut(keys.groupBy("bucket").applyInArrow(_scan, "leader long, member long").distinct())
-
-    needed = cut(members.select("member").distinct().join(sets, F.col("member") == F.col("set_id")).select("member", F.col("rep").alias("doc_id"), "n"))
-    few = small(needed, needed.count())
-    loaded = cut(texts.join(few, "doc_id").select("member", "text").mapInArrow(_load(n), "member long, hashes binary").dropDuplicates(["member"]))
-    sized = members.join(few.select("member", "n"), "member")
+    keys = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_emit(n, sizes, bits), "bucket long, keys binary, sets binary, owners binary")
+    members = gathered(cut(keys.groupBy("bucket").applyInArrow(_scan, "leader long, member long").distinct()))
+    sized = cut(members.join(sets.withColumnRenamed("set_id", "member"), "member"))
     tiles = sized.groupBy("leader").agg(F.expr(f"cast(greatest(ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"))
-    dealt = members.join(tiles, "leader").withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
-    paired = dealt.select("leader", "member", "tile", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other"))
-    paired = paired.select("leader", "member", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-    found = paired.join(loaded, "member").groupBy("leader", "i", "j").applyInArrow(_verify(percent), "a long, b long")
+    dealt = sized.join(tiles, "leader").withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
+    meetings = F.expr("transform(sequence(0, tiles - 1), other -> struct(leader, least(tile, other) AS i, greatest(tile, other) AS j, tile))")
+    targets = cut(dealt.groupBy("member", "rep.doc_id", "rep.rows").agg(F.flatten(F.collect_list(meetings)).alias("to")))
+    n_targets, repeats = targets.agg(F.sum(F.size("to")), F.max("rows")).first()
+    loaded = texts.join(small(targets.drop("rows"), n_targets or 0), "doc_id").select("member", "text", "to").mapInArrow(_load(n), "member long, hashes binary, to array<struct<leader: long, i: int, j: int, tile: int>>")
+    if (repeats or 0) > 1:  # rows that share an id and a text
+        loaded = loaded.dropDuplicates(["member"])
+    met = loaded.select("member", "hashes", F.explode("to").alias("to")).select("member", "hashes", "to.*")
+    found = met.groupBy("leader", "i", "j").applyInArrow(_verify(percent), "a long, b long")
 
     stars = components(found)
-    rooted = sets.join(stars, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("root", "set_id").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    rooted = sets.join(stars, F.col("set_id") == F.col("node"), "left").select("set_id", "rep.doc_id", F.coalesce("root", "set_id").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = rooted.join(lowest, "root").select("set_id", "component_id")
     out = known.join(labels, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
