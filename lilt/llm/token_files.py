@@ -1,7 +1,7 @@
 """Token ids in ORC: integer run-length encoding, row indexes and Bloom filters on document ids.
 
 Documents are dealt into ranges of ascending id, each task encodes its sorted range and writes it as one file, so files
-in name order and rows in file order are in ascending id order. ORC stores the ids with run-length encoding, keeps
+in order of their task's number and rows in file order are in ascending id order. ORC stores the ids with run-length encoding, keeps
 minimum and maximum of doc_id by stripe and row group, and a Bloom filter on doc_id; stripes are read in parallel, and a
 look-up of a document skips the others by these.
 """
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ from lilt.llm.common import Generations, append_columns, checkpoint_dir, cut, pa
 
 #: Words and pieces in a worker's younger memo; the older one has as many. The longest one remembered.
 MEMO_WORDS, MEMO_PIECES, MEMO_BYTES = 450_000, 250_000, 64
+#: Bytes of documents for a file.
+FILE_BYTES = 256 << 20
 #: Fixed value: the splitting pattern of the tokenizer's file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Printable ASCII and Latin letters, for which NFC is the identity and lower case goes character by character.
@@ -162,6 +164,12 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
 SCHEMA = "doc_id long, row long, ids array<int>"
 
 
+def planned_bytes(docs: DataFrame) -> int:
+    """The optimizer's estimate of a table's bytes, from the sizes of its files; 0 where it has none."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, stripe_mb: int = 16, stride: int = 1000) -> None:
     """Writes the ids of docs (doc_id, text) as ORC files in ascending doc_id order.
 
@@ -169,7 +177,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, stri
     rows. The files are written by Spark's committer, so a lost executor's task is simply run again.
     """
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    ranged = docs.select("doc_id", "text").repartitionByRange(partitions(docs.sparkSession), order[0]).sortWithinPartitions(*order)
+    tasks = partitions(docs.sparkSession, planned_bytes(docs), FILE_BYTES)
+    ranged = docs.select("doc_id", "text").repartitionByRange(tasks, order[0]).sortWithinPartitions(*order)
     (
         encode(ranged, tokenizer_path, end_id)
         .write.mode("overwrite")
@@ -187,6 +196,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).orc(path).select("doc_id", "row", "ids", F.col("_metadata.file_name").alias("file"))
 
 
+def file_number(file: Column) -> Column:
+    """The number of the task that wrote a file: part-00012-..., and part-100000-... after part-99999-...."""
+    return F.regexp_extract(file, r"^part-(\d+)", 1).cast("long")
+
+
 def look_up(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
     """One document's rows; ORC skips stripes and row groups by minimum, maximum and Bloom filter."""
     return spark.read.schema(SCHEMA).orc(path).where(F.col("doc_id") == doc_id)
@@ -209,7 +223,7 @@ def layout(spark: SparkSession, path: str) -> DataFrame:
 
     rows = append_columns(read(spark, path).withColumn("n_tokens", F.size("ids").cast("long")), make, [T.StructField("ids_crc32", T.LongType())])
     stored = cut(rows.drop("ids"))  # a short row a document, read twice below; the files are read once
-    before = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(F.lit(0)).orderBy(file_number(F.col("file")), "file").rowsBetween(Window.unboundedPreceding, -1)
     files = stored.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
