@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import random
+import re
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, token_files
+from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, queries, token_files
 from lilt.llm.common import Generations, WordHashes, bounded_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -172,3 +178,93 @@ def test_line_ranges_keep_their_sort(spark):
     docs = spark.createDataFrame([(1, "x" * 50)], "doc_id long, text string")
     plan = line_dedup.keep_bitmaps(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort [range" in plan and "Window [" in plan
+
+
+def test_every_rule_passes_its_keywords():
+    """Random strings of every expression: the prefilter lets each pass, and the scan finds it or what contains it."""
+    for rule in licenses.rules():
+        expression = rule.pattern.pattern.removeprefix(rb"(?<![^ ])(?:").removesuffix(rb")(?![^ ])").decode().replace(r"\S", "[a-z]").replace(r"\d", "[0-9]")
+        strategy = st.from_regex(f"(?:{expression})", fullmatch=True)
+
+        @settings(max_examples=8, database=None, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+        @given(strategy)
+        def passes(text):
+            text = " ".join(text.split())
+            if rule.pattern.search(text.encode()):
+                assert any(k in b" " + text.encode() + b" " for k in rule.keywords), (rule.label, text)
+
+        passes()
+
+
+def test_gated_scans_find_what_ungated_ones_do(spark):
+    texts = ["Unauthorized copying of this file is strictly prohibited", "Released under the MIT-0 license; see the LICENSE file for details", "Alle Rechte vorbehalten. © 2021 Foo", "Licensed under the Apache License, Version 2.0; dual-licensed", "© 1999, EULA"]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for text in texts:
+        words = b" ".join(text.encode().translate(licenses.NORMAL).split())
+        found = []
+        for rule in licenses.rules():
+            for m in rule.pattern.finditer(words):
+                start = words.count(b" ", 0, m.start())
+                found.append(licenses.Detection(rule.label, start, start + m.group().count(b" ") + 1, rule.priority, rule.weight))
+        assert licenses.detect(words) == licenses.resolve(found)
+
+
+def brute_licenses(text):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", words)
+    places, labels = [], set()
+    for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+        p = phrase.split()
+        own = [i for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+        places += own
+        labels |= {label} if own else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_registered_license_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op6_license_scan(spark, sf).collect()
+    assert len(got) == len(texts) and any(r.n_base for r in got)
+    for r in got:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_licenses(texts[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+    for text in ("CC BY cc-by ÿ cc by cc", "all rights  reserved\x7fall rights reserved", "", None, "general public license" * 2):
+        s = licenses.scan(None if text is None else text.encode())
+        assert (s.n_words, len(s.places), min(s.places, default=None), max(s.places, default=None), ",".join(s.base_labels)) == brute_licenses(text)
+
+
+def test_registered_token_media_and_language_queries(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    library, start = Tokenizer.from_file(WORDS), 0
+    for r in sorted(queries.op3_token_files(spark, sf).collect(), key=lambda r: r.doc_id):
+        ids = library.encode(rows[r.doc_id].text or "", add_special_tokens=False).ids + [1]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in queries.op7_byte_bpe(spark, sf).collect():
+        text = rows[r.doc_id].text or ""
+        ids = bpe.encode_ordinary(text)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    feature = {}
+    for r in queries.op8_flac_media(spark, sf).collect():
+        raw = (rows[r.doc_id].text or "").encode()
+        payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert r.media_bytes > 42 and feature.setdefault(raw, (r.feature, r.media_sha256)) == (r.feature, r.media_sha256)
+    told = queries.op10_language(spark, sf).collect()
+    assert len(told) == len(rows) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in told)
+    known = [r for r in told if r.held_out and rows[r.doc_id].lang and any(map(str.isalpha, rows[r.doc_id].text or ""))]
+    assert np.mean([r.lang_pred == rows[r.doc_id].lang for r in known]) > 0.95
+    assert all(0 <= r.score <= 1 for r in told)
+
+
+def test_files_stand_in_order_of_their_numbers(spark):
+    names = [f"part-{n:05d}-x-c000.lz4.orc" for n in (0, 9, 99_999, 100_000, 100_001, 1_000_000)]
+    shuffled = spark.createDataFrame([(n,) for n in sorted(names)], "file string")
+    assert [r.file for r in shuffled.orderBy(token_files.file_number(F.col("file")), "file").collect()] == names
+    assert token_files.planned_bytes(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")) > 10_000
+    assert token_files.planned_bytes(spark.range(3)) < 1000
