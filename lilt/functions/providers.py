@@ -110,7 +110,7 @@ def chat(base_url: str, model: str, api_key: str, temperature: float = 1.0, max_
     return make
 
 
-#: Answers that a single-clip emotion request offers.
+#: Fixed value: answers that a single-clip emotion request offers.
 EMOTIONS = ("neutral", "happy", "sad", "angry", "contempt or disgust", "confused", "whisper", "surprise", "fear")
 
 

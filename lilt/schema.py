@@ -1,4 +1,4 @@
-"""Constants, vocabularies and field specifications."""
+"""Constants, vocabularies, aliases and field specifications that must be as they are for right results."""
 
 from __future__ import annotations
 
