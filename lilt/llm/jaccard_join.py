@@ -240,11 +240,37 @@ def _emit(n: int, sizes: Sizes, bits: int):
     return run
 
 
+#: Pairs of a list's smallest set and a set of the list, dealt to chunks by a hash of the pair.
+_PAIRS = pa.schema([("chunk", pa.int64()), ("leaders", pa.binary()), ("members", pa.binary())])
 _MEMBERS = pa.schema([("leader", pa.int64()), ("member", pa.int64())])
 
 
-def _scan(table: pa.Table) -> pa.Table:
-    """For one bucket: the sets of each list of several, with the list's smallest set."""
+def _scan(bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        """For one bucket: the sets of each list of several, with the list's smallest set."""
+        pairs = _lists(table)
+        mixed = B.spread(pairs[:, 0].view(np.uint64) ^ B.spread(pairs[:, 1].view(np.uint64)))
+        chunk = mixed >> np.uint64(64 - bits) if bits else np.zeros(len(pairs), np.uint64)
+        order = np.argsort(chunk, kind="stable")
+        chunk, pairs = chunk[order], pairs[order]
+        first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(chunk) else []
+        rows = []
+        for a, b in zip(first, [*first[1:], len(chunk)], strict=True):
+            rows.append({"chunk": int(chunk[a]), "leaders": B.pack_planes(pairs[a:b, 0].view(np.uint64)), "members": B.pack_planes(pairs[a:b, 1].view(np.uint64))})
+        return pa.Table.from_pylist(rows, schema=_PAIRS)
+
+    return run
+
+
+def _unite(table: pa.Table) -> pa.Table:
+    """The different pairs of one chunk, which has all copies of each of its pairs."""
+    pairs = np.concatenate([np.stack([B.unpack_planes(x.as_py()), B.unpack_planes(y.as_py())], axis=1).view(np.int64) for x, y in zip(table.column("leaders"), table.column("members"), strict=True)])
+    pairs = np.unique(pairs, axis=0)
+    return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_MEMBERS)
+
+
+def _lists(table: pa.Table) -> np.ndarray:
+    """The different pairs (smallest set of a list, set of the list) of a bucket's lists of several sets."""
     keys = np.concatenate([B.unpack_sorted(x.as_py()) for x in table.column("keys")])
     sets = np.concatenate([B.unpack_sorted(x.as_py()).view(np.int64)[B.unpack_planes(y.as_py()).view(np.int64)] for x, y in zip(table.column("sets"), table.column("owners"), strict=True)])
     larger, keys = (keys & np.uint64(LARGER)) > 0, keys & ~np.uint64(LARGER)
@@ -256,8 +282,7 @@ def _scan(table: pa.Table) -> pa.Table:
     length, larger = np.diff(np.append(first, len(keys))), np.add.reduceat(larger.astype(np.int64), first)
     one_sided = ((keys[first] & np.uint64(LIGHT | EQUAL)) == LIGHT) & ((larger == 0) | (larger == length))
     leader, shared = np.repeat(sets[first], length), np.repeat((length > 1) & ~one_sided, length)
-    rows = np.unique(np.stack([leader[shared], sets[shared]], axis=1), axis=0)
-    return pa.Table.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], schema=_MEMBERS)
+    return np.unique(np.stack([leader[shared], sets[shared]], axis=1), axis=0)
 
 
 def _load(n: int):
@@ -390,10 +415,12 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     expected = sum(r["n"] * sizes.keys(r["size"]) for r in histogram)
     bits = max(0, int(np.ceil(np.log2(max(1.0, expected / BUCKET_KEYS)))))
     keys = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_emit(n, sizes, bits), "bucket long, keys binary, sets binary, owners binary")
-    members = gathered(cut(keys.groupBy("bucket").applyInArrow(_scan, "leader long, member long").distinct()))
+    pairs = keys.groupBy("bucket").applyInArrow(_scan(bits), "chunk long, leaders binary, members binary")
+    members = gathered(cut(pairs.groupBy("chunk").applyInArrow(_unite, "leader long, member long")))
     sized = cut(members.join(sets.withColumnRenamed("set_id", "member"), "member"))
     tiles = sized.groupBy("leader").agg(F.expr(f"cast(greatest(ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"))
-    dealt = sized.join(tiles, "leader").withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
+    several = cut(tiles.where("tiles > 1"))
+    dealt = sized.join(small(several, several.count()), "leader", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
     meetings = F.expr("transform(sequence(0, tiles - 1), other -> struct(leader, least(tile, other) AS i, greatest(tile, other) AS j, tile))")
     targets = cut(dealt.groupBy("member", "rep.doc_id", "rep.rows").agg(F.flatten(F.collect_list(meetings)).alias("to")))
     n_targets, repeats = targets.agg(F.sum(F.size("to")), F.max("rows")).first()
