@@ -253,9 +253,9 @@ def _scan(bits: int):
         chunk = mixed >> np.uint64(64 - bits) if bits else np.zeros(len(pairs), np.uint64)
         order = np.argsort(chunk, kind="stable")
         chunk, pairs = chunk[order], pairs[order]
-        first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(chunk) else []
+        edges = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)] if len(chunk) else []
         rows = []
-        for a, b in zip(first, [*first[1:], len(chunk)], strict=True):
+        for a, b in zip(edges, edges[1:], strict=False):
             rows.append({"chunk": int(chunk[a]), "leaders": B.pack_planes(pairs[a:b, 0].view(np.uint64)), "members": B.pack_planes(pairs[a:b, 1].view(np.uint64))})
         return pa.Table.from_pylist(rows, schema=_PAIRS)
 
