@@ -30,6 +30,11 @@ def parser() -> argparse.ArgumentParser:
     label.add_argument("--thresholds", help="where thresholds and report go")
     label.add_argument("--saved-thresholds", help="label by the thresholds of an earlier run")
     label.add_argument("--workers", help="Spark master, such as local[4]")
+    label.add_argument("--speaker-model", help="module:function that makes the speaker model; takes device")
+    label.add_argument("--stress-model", help="module:function that makes the stress model; takes device and folder")
+    label.add_argument("--device", default="cuda", help="where models run")
+    label.add_argument("--whistress-dir", help="folder of the stress model")
+    label.add_argument("--skip-models", action="store_true", help="ask no models, even if they are named")
     enrich = jobs.add_parser("enrich", help="add generated text to records")
     enrich.add_argument("input")
     enrich.add_argument("output")
@@ -43,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
     enrich.add_argument("--timeout", type=float, default=60.0)
     enrich.add_argument("--workers", type=int, default=8)
     enrich.add_argument("--limit", type=int)
+    enrich.add_argument("--errors", help="where failures go")
+    enrich.add_argument("--chunk", type=int, default=2_000, help="records appended at a time")
     enrich.add_argument("--no-resume", action="store_true")
     enrich.add_argument("--dry-run", type=int, nargs="?", const=1)
     return top
@@ -60,7 +67,9 @@ def main(arguments: list[str] | None = None) -> int:
     if a.job == "label":
         saved = json.loads(Path(a.saved_thresholds).read_text(encoding="utf-8"))["thresholds"] if a.saved_thresholds else None
         options = {} if a.stage == "extract" else {"group_field": a.group_by or None, "percentiles": tuple(a.percentiles), "min_group": a.min_group_size, "saved": saved}
-        document = labelling.run(spark, a.input, a.output, a.stage, a.limit, a.features, a.errors, a.thresholds, **options)
+        use = lambda name, **given: providers.named_factory(name, **given) if name and not a.skip_models else None
+        speaker, stress = use(a.speaker_model, device=a.device), use(a.stress_model, device=a.device, folder=a.whistress_dir)
+        document = labelling.run(spark, a.input, a.output, a.stage, a.limit, a.features, a.errors, a.thresholds, speaker, stress, **options)
         if document:
             print("\n".join(report.as_lines(document["report"])))
         return 0
@@ -73,7 +82,7 @@ def main(arguments: list[str] | None = None) -> int:
         print("no API key", file=sys.stderr)
         return 2
     provider = providers.chat(a.base_url, a.model, a.api_key, a.temperature, a.max_tokens, a.max_retries, a.timeout) if a.base_url else providers.echo
-    return 1 if enriching.run(spark, records, a.output, provider, a.field, not a.no_resume, a.workers) else 0
+    return 1 if enriching.run(spark, records, a.output, provider, a.field, not a.no_resume, a.workers, errors=a.errors, chunk=a.chunk) else 0
 
 
 if __name__ == "__main__":

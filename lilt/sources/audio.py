@@ -5,10 +5,12 @@ from __future__ import annotations
 import io
 import traceback
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,25 +53,34 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("path", "content").orderBy("path")
 
 
-def measure(contents: DataFrame) -> DataFrame:
-    """TRACK rows from (audio_path, content); a file that can't be read has an error instead of tracks."""
+def load(path: str) -> bytes:
+    """A file's contents, read by the task that needs them: plain and file: paths directly, other schemes through Arrow's file systems."""
+    if "://" in path and not path.startswith("file:"):
+        system, inner = pa_fs.FileSystem.from_uri(path)
+        with system.open_input_stream(inner) as f:
+            return f.read()
+    with open(unquote(urlparse(path).path) if path.startswith("file:") else path, "rb") as f:
+        return f.read()
+
+
+def measure(clips: DataFrame, load: Callable[[str], bytes] = load) -> DataFrame:
+    """TRACK rows from audio_path; a file that is missing or can't be decoded has an error instead of tracks.
+
+    Paths are dealt to tasks, not contents: audio crosses no exchange, and a task holds one recording at a time.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["audio_path"], batch["content"], strict=True):
+            for path in batch["audio_path"]:
                 try:
-                    if content is None:
-                        raise FileNotFoundError(f"no audio at {path}")
-                    y = decode(bytes(content))
+                    y = decode(load(path))
                     f0 = pitch.pitch(y)
-                    rows.append((path, len(y), pitch.amplitude(y).tolist(), [None if np.isnan(x) else float(x) for x in f0], None))
+                    row = (path, len(y), pitch.amplitude(y).tolist(), [None if np.isnan(x) else float(x) for x in f0], None)
                 except Exception:  # a bad file is a failed record, not a failed job
-                    rows.append((path, None, None, None, traceback.format_exc()))
-            yield pd.DataFrame(rows, columns=["audio_path", "n_samples", "rms", "f0", "_error"])
+                    row = (path, None, None, None, traceback.format_exc(limit=3))
+                yield pd.DataFrame([row], columns=["audio_path", "n_samples", "rms", "f0", "_error"])
 
-    contents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    return contents.select("audio_path", "content").mapInPandas(run, TRACK)
+    return clips.select("audio_path").mapInPandas(run, TRACK)
 
 
 def to_frames(measured: DataFrame) -> DataFrame:

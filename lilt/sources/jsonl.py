@@ -14,16 +14,25 @@ from pyspark.sql import types as T
 def read(spark: SparkSession, path: str, schema: T.StructType | str | None = None, limit: int | None = None) -> DataFrame:
     """Records of a file or folder; blank lines are skipped, a malformed line fails the job. limit takes the first ones."""
     reader = spark.read.option("mode", "FAILFAST")
-    df = (reader.schema(schema) if schema else reader).json(path)
-    return df.limit(limit) if limit else df
+    return first((reader.schema(schema) if schema else reader).json(path), limit)
+
+
+def first(df: DataFrame, n: int | None) -> DataFrame:
+    """The first n rows of files in the order of their paths and lines; all of them for 0 or None. Every task keeps at most n."""
+    if not n:
+        return df
+    marked = df.select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("_place"))
+    return marked.orderBy("_place").limit(n).drop("_place")
 
 
 def read_open(spark: SparkSession, path: str, fields: dict[str, str] | None = None, limit: int | None = None) -> DataFrame:
-    """Typed columns for ``fields`` (name to type) and ``_record``, the whole line, so that unknown fields pass through."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    lines = lines.limit(limit) if limit else lines
+    """Typed columns for ``fields`` (name to type) and ``_record``, the whole line, so that unknown fields pass through.
+
+    A field that is absent or of another type is null; no scan infers a schema.
+    """
+    lines = first(spark.read.text(path).where(F.trim("value") != ""), limit)
     parsed = lines.select(F.col("value").alias("_record"), F.parse_json("value").alias("_v"))
-    return parsed.select("_record", *[F.variant_get("_v", f"$.{n}", t).alias(n) for n, t in (fields or {}).items()])
+    return parsed.select("_record", *[F.try_variant_get("_v", f"$['{n}']", t).alias(n) for n, t in (fields or {}).items()])
 
 
 @F.pandas_udf(T.StringType())
@@ -47,11 +56,27 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
+def _target(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark's file system has a path."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    system, target = _target(spark, path)
+    return system.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder, if it is there."""
+    system, target = _target(spark, path)
+    system.delete(target, True)
+
+
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """df written as Parquet and read back: a lost executor costs reading it again, not making it again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def done_keys(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:

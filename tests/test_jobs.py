@@ -145,7 +145,7 @@ def test_labelling_job(spark, tmp_path):
     save(tmp_path / "flat.wav", tone(120))
     save(tmp_path / "none.wav", np.zeros(32000))
     (tmp_path / "bad.wav").write_bytes(b"no audio")
-    names = ["rise", "fall", "flat", "none", "bad", "missing"]
+    names = ["rise", "fall", "flat", "none", "bad", "missing", "no folder/x"]
     lines = [{"audio_path": str(tmp_path / f"{n}.wav"), "text": "the quick brown fox", "dataset": "d", "extra": i} for i, n in enumerate(names)]
     (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, [*lines, {"text": "no path", "extra": 9}])) + "\n\n")
     out = str(tmp_path / "out")
@@ -155,12 +155,86 @@ def test_labelling_job(spark, tmp_path):
     assert [got[n].intonation for n in ("rise", "fall", "flat", "none")] == ["rising", "falling", "flat", "too_short"]
     assert got["flat"].f0_median_hz == pytest.approx(120, rel=0.02) and got["none"].f0_median_hz is None and got["flat"].extra == 2
     assert got["flat"].duration_s == 1.5 and got["flat"].n_phonemes > 8
-    assert jsonl.read(spark, f"{out}.features.errors").count() == 3
+    failed = {r.audio_path and Path(r.audio_path).stem: r.error for r in jsonl.read(spark, f"{out}.features.errors").collect()}
+    assert set(failed) == {"bad", "missing", "x", None} and "FileNotFoundError" in failed["x"] and "FileNotFoundError" in failed["missing"]
+    assert not Path(f"{out}.features.scratch").exists()
     assert document["report"]["labels"]["intonation"]["rising"] == 1 and Path(f"{out}.thresholds.json").exists()
     relabelled = labelling.run(spark, "unused", f"{out}2", "calibrate", features=f"{out}.features", min_group=2)
     assert relabelled["report"] == document["report"]
 
 
+def speaker(device):
+    return lambda samples: (0.3, [0.9, 0.1, 0.0] if len(samples) > 20000 else [0.1, 0.9, 0.0])
+
+
+def stress(device, folder):
+    def call(samples, text):
+        if text == "fails":
+            raise RuntimeError("no stress")
+        return text.split(), [0] * (len(text.split()) - 1) + [1], 99
+
+    return call
+
+
+def test_models_of_the_job(spark, tmp_path):
+    save(tmp_path / "long.wav", tone(120))
+    save(tmp_path / "short.wav", tone(200, seconds=1))
+    records = [("long", "one two"), ("long", "fails"), ("short", "three four"), ("short", "three four"), ("gone", "five")]
+    lines = [{"audio_path": str(tmp_path / f"{n}.wav"), "text": t, "gender": "given", "odd key": {"n": [1, "é"]}, "id": i} for i, (n, t) in enumerate(records)]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    out = str(tmp_path / "out")
+    assert cli.main(["label", str(tmp_path / "in.jsonl"), out, "--speaker-model", "tests.test_jobs:speaker", "--stress-model", "tests.test_jobs:stress", "--min-group-size", "1"]) == 0
+    got = {r["id"]: r for r in (json.loads(x.value) for x in spark.read.text(out).collect())}
+    assert set(got) == {0, 2, 3} and all(r["odd key"] == {"n": [1, "é"]} and list(r)[:5] == ["audio_path", "text", "gender", "odd key", "id"] for r in got.values())
+    assert (got[0]["gender"], got[2]["gender"], got[0]["age_level"], got[0]["age_years"]) == ("Female", "Male", "Young Adult", 30.0)
+    assert got[0]["stressed_words"] == ["one"] and got[3]["stress_truncated"] is False and got[0]["pitch_level"] == "low"
+    errors = Path(f"{out}.features.errors")
+    assert sorted(r.error.split(":")[0] for r in jsonl.read(spark, str(errors)).collect()) == ["FileNotFoundError", "RuntimeError"]
+    assert cli.main(["label", str(tmp_path / "in.jsonl"), out, "--limit", "1", "--skip-models", "--speaker-model", "tests.test_jobs:speaker"]) == 0
+    (only,) = [json.loads(x.value) for x in spark.read.text(out).collect()]
+    assert only["id"] == 0 and only["gender"] == "given" and "age_years" not in only and not errors.exists()
+
+
+def test_first_rows_in_order(spark, tmp_path):
+    for name in ("b", "a"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(f'{{"n": "{name}{i:03}"}}' for i in range(300 if name == "b" else 40)))
+    assert [r.n for r in jsonl.read(spark, str(tmp_path), limit=42).collect()] == [f"a{i:03}" for i in range(40)] + ["b000", "b001"]
+    assert jsonl.read_open(spark, str(tmp_path), {"n": "string"}, 41).where("n = 'b000'").count() == 1
+    assert jsonl.read(spark, str(tmp_path), limit=0).count() == 340
+
+
+def test_stopped_enrichment(spark, tmp_path):
+    df = spark.createDataFrame([(f"a{i}", "sad", f"words {i}") for i in range(12)], "audio_path string, emotion string, text string")
+    out, calls = str(tmp_path / "out"), tmp_path / "calls"
+    calls.mkdir()
+
+    def counting():
+        def call(prompt):
+            (calls / f"{len(list(calls.iterdir()))}-{hash(prompt)}").touch()
+            return "told"
+
+        return call
+
+    append = jsonl.append
+    done = []
+
+    def stops(df, path):
+        if len(done) == 1:
+            raise KeyboardInterrupt
+        append(df, path)
+        done.append(path)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jsonl, "append", stops)
+        with pytest.raises(KeyboardInterrupt):
+            enriching.run(spark, df, out, counting, workers=1, chunk=4)
+    paid = len(list(calls.iterdir()))
+    assert 0 < jsonl.read(spark, out).count() < paid < 12
+    assert enriching.run(spark, df, out, counting, workers=1, chunk=4, errors=str(tmp_path / "e")) == 0
+    assert sorted(r.audio_path for r in jsonl.read(spark, out).collect()) == sorted(f"a{i}" for i in range(12))
+    assert len(list(calls.iterdir())) == 12 and not (tmp_path / "e").exists() and not Path(f"{out}.scratch").exists()
+
+
 def test_enriching_job(spark, tmp_path):
     rows = [(f"a{i}", "happy" if i % 3 else None, f"words {i}") for i in range(9)]
     df = spark.createDataFrame(rows, "audio_path string, emotion string, text string")

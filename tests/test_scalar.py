@@ -110,3 +110,22 @@ def test_providers(spark):
 
 def test_vocabularies():
     assert set(S.INTONATIONS) >= {"rising", "too_short"} and len(S.AGE_LEVELS) == 5
+
+
+def test_models_by_name_and_clips(spark):
+    assert providers.named_factory("builtins:dict", device="cpu")() == {"device": "cpu"}
+    providers.checked_weights(["age.w", "other"], ["age.w", "body.b"], ("age.",))
+    with __import__("pytest").raises(RuntimeError, match="lacks 1 "):
+        providers.checked_weights(["age.w"], ["age.w", "age.b", "body.b"], ("age.",))
+
+    def provider():
+        def call(messages):
+            parts = messages[0]["content"]
+            if parts[0]["audio"] == "bad":
+                raise OSError("gone")
+            return f"<think>{parts[0]['audio']}</think><answer>sad</answer>" if parts[1].get("text") else ""
+
+        return call
+
+    got = {r.audio_path: r for r in providers.clip_answers(spark.createDataFrame([("x",), ("bad",)], "audio_path string"), provider).collect()}
+    assert (got["x"].thinking, got["x"].emotion, got["x"]._error) == ("x", "sad", None) and got["bad"]._error == "OSError: gone" and got["bad"].answer is None
