@@ -118,7 +118,7 @@ class WordLogits:
 
 
 def _features(buckets: int):
-    """Kernel: the distinct buckets of a text and how often each occurs, packed."""
+    """Kernel: the distinct buckets of a text (steps from one to the next) and how often each occurs, compressed."""
 
     def make():
         def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -130,7 +130,7 @@ def _features(buckets: int):
                     found, owner = subwords([x for x, _ in letters], buckets)
                     counts += np.bincount(found, np.array([n for _, n in letters])[owner], buckets).astype(np.int64)
                 at = np.flatnonzero(counts)
-                packed.append(np.concatenate([at, counts[at]]).astype("<i4").tobytes())
+                packed.append(zlib.compress(np.concatenate([np.diff(at, prepend=0), counts[at]]).astype("<i4").tobytes(), 1))
             return [pa.array(packed, pa.binary())]
 
         return kernel
@@ -142,10 +142,10 @@ class Vectors:
     """Mean subword vectors, kept by their buckets that aren't 0; x[rows] is a dense array of some of them."""
 
     def __init__(self, packed: list[bytes], buckets: int) -> None:
-        self.shape, self.parts = (len(packed), buckets), []
+        self.shape, self.parts, narrow = (len(packed), buckets), [], np.min_scalar_type(buckets)
         for p in packed:
-            at, counts = np.frombuffer(p, "<i4").reshape(2, -1)
-            self.parts.append((at, (counts / max(counts.sum(dtype=np.int64), 1)).astype(np.float32)))
+            steps, counts = np.frombuffer(zlib.decompress(p), "<i4").reshape(2, -1)
+            self.parts.append((steps.cumsum().astype(narrow), (counts / max(counts.sum(dtype=np.int64), 1)).astype(np.float32)))
 
     def __getitem__(self, rows: np.ndarray) -> np.ndarray:
         out = np.zeros((len(rows), self.shape[1]), np.float32)
@@ -173,7 +173,7 @@ def sample_features(labelled: DataFrame, max_docs: int, buckets: int) -> tuple[l
     for lang in (x for x, n in sizes.items() if got[x] < min(max_docs, n)):
         found = [r for r in found if r["lang"] != lang] + _collect(hashed.where(F.col("lang") == lang).orderBy(*order).limit(max_docs), buckets)
     found.sort(key=lambda r: (r["doc_id"], r["lang"], r["_packed"]))
-    return [r["lang"] for r in found], Vectors([bytes(r["_packed"]) for r in found], buckets)
+    return [r["lang"] for r in found], Vectors([r["_packed"] for r in found], buckets)
 
 
 def _collect(picked: DataFrame, buckets: int) -> list:
