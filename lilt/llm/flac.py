@@ -1,7 +1,8 @@
 """Media columns: bytes kept as FLAC streams of 8-bit mono samples, encoded and decoded here.
 
 Streams follow the FLAC format (RFC 9639): STREAMINFO with the MD5 of the samples, a seek table with a point for every frame,
-frames of 1,024 samples. The encoder picks constant, verbatim or fixed-predictor subframes with Rice-coded residuals; the
+frames of 1,024 samples. Streams of other encoders, whose seek table has fewer points or which have none, are searched for
+frames. The encoder picks constant, verbatim or fixed-predictor subframes with Rice-coded residuals; the
 decoder also reads LPC subframes, partitioned Rice codes, escaped partitions and wasted bits. Every frame's CRC-8 and CRC-16
 and the MD5 are verified. Many frames are worked on at a time: bits of all residuals are added into one buffer, and one
 step of the decoder reads the next residual of every frame.
@@ -10,6 +11,7 @@ step of the decoder reads the next residual of every frame.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterable
 
 import numpy as np
@@ -106,6 +108,56 @@ def read_number(data: bytes, at: int) -> tuple[int, int]:
     return n, at + max(more, 1)
 
 
+def read_header(data: bytes, at: int) -> tuple[int, int]:
+    """Samples of the frame whose header begins at a place, and the place after the header, whose CRC-8 is verified."""
+    begin = at
+    try:
+        if data[at] != 0xFF or data[at + 1] & 0xFE != 0xF8:
+            raise CorruptStream("no frame at a place that should have one")
+        code, rate = data[at + 2] >> 4, data[at + 2] & 15
+        _, at = read_number(data, at + 4)
+        if code == 0:
+            raise CorruptStream("a reserved size of a frame")
+        if code == 6:
+            n, at = data[at] + 1, at + 1
+        elif code == 7:
+            n, at = int.from_bytes(data[at : at + 2], "big") + 1, at + 2
+        else:
+            n = 192 if code == 1 else 576 << code - 2 if code < 6 else 256 << code - 8
+        at += 1 if rate == 12 else 2 if rate in (13, 14) else 0
+        if crc8(data[begin:at]) != data[at]:
+            raise CorruptStream("a frame header's CRC-8 is wrong")
+    except IndexError as e:
+        raise CorruptStream("a frame header ends early") from e
+    return n, at + 1
+
+
+def find_frames(data: bytes, first: int) -> list[tuple[int, int, int]]:
+    """(first sample, byte from ``first``, samples) of every frame from a place on, found by their headers and CRC-16.
+
+    Bytes inside a frame that pass for a header don't end it unless the checksum before them fits too.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    heads = {}
+    for at in (np.flatnonzero((raw[first:-1] == 0xFF) & (raw[first + 1 :] & 0xFE == 0xF8)) + first).tolist():
+        try:
+            heads[at] = read_header(data, at)[0]
+        except CorruptStream:
+            continue
+    ends, out, begin, sample = [*heads, len(data)], [], first, 0
+    while begin < len(data):
+        if begin not in heads:
+            raise CorruptStream("no frame at a place that should have one")
+        for end in ends[bisect_right(ends, begin) :]:
+            if end - begin >= 9 and _SUMS.of(raw, np.array([begin]), np.array([end - 2]))[0] == int.from_bytes(data[end - 2 : end], "big"):
+                break
+        else:
+            raise CorruptStream("a frame's CRC-16 is wrong")
+        out.append((sample, begin - first, heads[begin]))
+        sample, begin = sample + heads[begin], end
+    return out
+
+
 def frame_header(number: int, samples: int) -> bytes:
     size = b"" if samples == BLOCK else (samples - 1).to_bytes(2, "big")
     head = bytes([0xFF, 0xF8, (BLOCK_CODE if not size else 7) << 4 | RATE_CODE, 0x02]) + coded_number(number) + size
@@ -216,8 +268,11 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
+POINT = [("sample", ">u8"), ("offset", ">u8"), ("samples", ">u2")]
+
+
 class Stream:
-    """A stream's fields, seek points and frames."""
+    """A stream's fields, and a point for every frame: from the seek table if it has them all, else from a search."""
 
     def __init__(self, data: bytes) -> None:
         if data[:4] != MAGIC:
@@ -225,22 +280,31 @@ class Stream:
         self.data, at, last, points = data, 4, False, []
         self.info = b""
         while not last:
-            last, kind, size = data[at] >> 7, data[at] & 127, int.from_bytes(data[at + 1 : at + 4], "big")
+            last, kind, size = data[at : at + 1] > b"\x7f", int.from_bytes(data[at : at + 1], "big") & 127, int.from_bytes(data[at + 1 : at + 4], "big")
             body = data[at + 4 : at + 4 + size]
+            at += 4 + size
+            if at > len(data):
+                raise CorruptStream("the stream ends in its head")
             if kind == 0:
                 self.info = body
             elif kind == 3:
-                points.append(np.frombuffer(body, [("sample", ">u8"), ("offset", ">u8"), ("samples", ">u2")]))
-            at += 4 + size
+                points.append(np.frombuffer(body, POINT, len(body) // 18))
+        if len(self.info) < 34:
+            raise CorruptStream("no STREAMINFO")
         fields = int.from_bytes(self.info[10:18], "big")
         self.bits, self.total, self.md5, self.first = (fields >> 36 & 31) + 1, fields & (1 << 36) - 1, self.info[18:34], at
         if self.bits != 8 or fields >> 41 & 7:
             raise CorruptStream("only 8-bit mono streams are read")
-        table = np.concatenate(points) if points else np.zeros(0, [("sample", ">u8"), ("offset", ">u8"), ("samples", ">u2")])
-        self.points = table[table["sample"] != 0xFFFFFFFFFFFFFFFF]
+        table = np.concatenate(points) if points else np.zeros(0, POINT)
+        table = table[table["sample"] != 0xFFFFFFFFFFFFFFFF]
+        stops = np.cumsum(table["samples"].astype(np.int64))
+        whole = len(table) and stops[-1] == self.total and (table["sample"][0] == 0) and (table["sample"][1:] == stops[:-1]).all()
+        self.points = table if whole else np.array(find_frames(data, at), POINT)
+        if not self.total and len(self.points):
+            self.total = int(self.points["samples"].astype(np.int64).sum())
 
     def frames(self, start: int = 0, stop: int | None = None) -> list[tuple[int, int]]:
-        """Byte ranges of the frames that hold samples from start to stop, by the seek table."""
+        """Byte ranges of the frames that hold samples from start to stop."""
         stop = self.total if stop is None else stop
         offsets = np.append(self.points["offset"].astype(np.int64) + self.first, len(self.data))
         sample = self.points["sample"].astype(np.int64)
@@ -270,21 +334,8 @@ def _decode_some(data: bytes, ranges: list[tuple[int, int]]) -> list[np.ndarray]
     out: list[np.ndarray | None] = [None] * len(ranges)
     lanes: list[tuple[int, int, int, int, int]] = []
     for i, (a, b) in enumerate(ranges):
-        if data[a] != 0xFF or data[a + 1] & 0xFE != 0xF8:
-            raise CorruptStream("no frame where the seek table has one")
-        code = data[a + 2] >> 4
-        _, at = read_number(data, a + 4)
-        if code == 6:
-            n, at = data[at] + 1, at + 1
-        elif code == 7:
-            n, at = int.from_bytes(data[at : at + 2], "big") + 1, at + 2
-        else:
-            n = 192 if code == 1 else 576 << code - 2 if code < 6 else 256 << code - 8
-        rate = data[a + 2] & 15
-        at += 1 if rate == 12 else 2 if rate in (13, 14) else 0
-        if crc8(data[a:at]) != data[at]:
-            raise CorruptStream("a frame header's CRC-8 is wrong")
-        kind, at = data[at + 1], at + 2
+        n, at = read_header(data, a)
+        kind, at = data[at], at + 1
         if kind == 0:
             out[i] = np.full(n, data[at], np.uint8).view(np.int8)
         elif kind == 2:
@@ -386,7 +437,7 @@ def _decode_general(frame: bytes, at: int, n: int) -> np.ndarray:
 
 
 def decode(streams: list[bytes]) -> list[bytes]:
-    """The payloads of streams; raises CorruptStream if any checksum is wrong."""
+    """The payloads of streams; raises CorruptStream if any checksum is wrong. An MD5 of zeros says that there is none."""
     parsed = [Stream(s) for s in streams]
     base, ranges, counts = 0, [], []
     for s in parsed:
@@ -398,7 +449,7 @@ def decode(streams: list[bytes]) -> list[bytes]:
     for s, count in zip(parsed, counts, strict=True):
         samples = np.concatenate(frames[at : at + count]) if count else np.zeros(0, np.int8)
         at += count
-        if len(samples) != s.total or hashlib.md5(samples.tobytes()).digest() != s.md5:
+        if len(samples) != s.total or any(s.md5) and hashlib.md5(samples.tobytes()).digest() != s.md5:
             raise CorruptStream("the samples' number or MD5 is wrong")
         out.append((samples.view(np.uint8) ^ np.uint8(0x80)).tobytes())
     return out
@@ -448,7 +499,8 @@ def media_column(docs: DataFrame, text_col: str = "text", only: list[str] | None
 
     The payload is the text as UTF-8 with bytes 0 appended up to a positive multiple of 64; a null text counts as empty.
     offsets lists (sample, byte) for every frame, so PCM blocks can be read from the middle. Rows are independent: equal
-    texts have equal values. Input columns named like the new ones are replaced.
+    texts have equal values, repeated rows return each. A long text is one stream of many frames, worked on LANES frames at
+    a time. An empty table gives no rows. Input columns named like the new ones are replaced.
     """
 
     def make():

@@ -302,6 +302,26 @@ def test_flac_payloads_and_damage():
         assert flac.read_number(flac.coded_number(n), 0) == (n, len(flac.coded_number(n)))
 
 
+def test_flac_without_a_whole_seek_table():
+    r = random.Random(3)
+    payloads = [bytes(64), bytes(r.randrange(256) for _ in range(5000)), bytes(int(128 + 90 * np.sin(i / 9)) for i in range(70_001)), b"\xff\xf8\xff\xf9" * 900]
+    for stream, payload in zip(flac.encode(payloads), payloads, strict=True):
+        s = flac.Stream(stream)
+        info, frames = stream[8 : 8 + 34], stream[s.first :]
+        half = s.points[::2].tobytes() if len(s.points) > 1 else b""
+        bare = flac.MAGIC + b"\x80\x00\x00\x22" + info + frames
+        some = flac.MAGIC + b"\x00\x00\x00\x22" + info + b"\x83" + len(half).to_bytes(3, "big") + half + frames
+        unsized = flac.MAGIC + b"\x80\x00\x00\x22" + info[:13] + bytes([info[13] & 0xF0]) + bytes(4 + 16) + frames
+        assert flac.decode([bare, some, unsized]) == [payload] * 3
+        assert flac.Stream(bare).points.tolist() == s.points.tolist()
+        assert flac.read_samples(bare, len(payload) // 2, 1500) == payload[len(payload) // 2 :][:1500]
+        for end in (*range(s.first), s.first + 3, len(stream) - 1):
+            for cut in (stream[:end], bare[:end]):
+                if len(cut) < len(bare):
+                    with pytest.raises(flac.CorruptStream):
+                        flac.decode([cut])
+
+
 def test_flac_linear_predictor_and_partitions():
     x, taps, move, k = [int(60 * np.sin(i / 7)) for i in range(64)], [30, -15], 4, 3
     bits = "0" + f"{32 + 1:06b}" + "0" + "".join(f"{v & 255:08b}" for v in x[:2]) + f"{7 - 1:04b}" + f"{move:05b}" + "".join(f"{t & 127:07b}" for t in taps) + "00" + f"{1:04b}"
