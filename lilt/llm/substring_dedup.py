@@ -30,29 +30,43 @@ RESULT = "doc_id long, n_words long, n_removed long, intervals array<struct<star
 
 
 class BlockWindows:
-    """The windows of a block: hashes, ranks of their documents, and the distinct hashes with their smallest rank."""
+    """The windows of a block: hashes, ranks of their documents, and the distinct hashes with their smallest document.
+
+    Words of one text at a time are held as objects; the arrays of all windows are in 32 bits but for the hashes.
+    """
 
     def __init__(self, packed: bytes, window: int, memo: WordHashes) -> None:
         self.ids, self.given, self.texts = B.open_block(packed)
-        self.words = [t.split() if t else [] for t in self.texts]
         memo.trim()
-        hashes = [B.word_hashes(w, memo) for w in self.words]
-        self.counts = np.array([max(0, len(h) - window + 1) if ok else 0 for h, ok in zip(hashes, self.given, strict=True)], np.int64)
-        rolled = [B.rolling(h, window) for h, n in zip(hashes, self.counts, strict=True) if n]
-        h = np.concatenate(rolled) if rolled else np.zeros(0, np.uint64)
+        counts, rolled = [], [np.zeros(0, np.uint64)]
+        for text, given in zip(self.texts, self.given, strict=True):
+            words = text.split() if text and given else ()
+            counts.append(max(0, len(words) - window + 1))
+            if counts[-1]:
+                rolled.append(B.rolling(B.word_hashes(words, memo), window))
+        self.counts = np.array(counts, np.int64)
+        h = np.concatenate(rolled)
+        del rolled
         # ids ascend, so a stable sort by hash leaves each run's smallest document first
-        self.order = np.argsort(h, kind="stable")
-        ranked = h[self.order]
-        self.first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(h) else np.zeros(0, np.int64)
-        self.hashes = ranked[self.first]
-        self.run = np.cumsum(np.bincount(self.first, minlength=len(h))) - 1 if len(h) else np.zeros(0, np.int64)
-        self.doc_of = np.repeat(self.ids, self.counts)[self.order]
-        self.smallest = self.doc_of[self.first]
+        order = np.argsort(h, kind="stable")
+        ranked = h[order]
+        del h
+        self.order = order.astype(np.int32)
+        del order
+        starts = np.ones(len(ranked), bool)
+        np.not_equal(ranked[1:], ranked[:-1], out=starts[1:])
+        self.hashes = ranked[starts]
+        self.run = np.cumsum(starts, dtype=np.int32)
+        self.run -= 1
+        different, rank = np.unique(self.ids, return_inverse=True)
+        self.rank = np.repeat(rank.astype(np.int32), self.counts)[self.order]
+        self.lowest = self.rank[starts]
+        self.smallest = different[self.lowest]
 
     def repeated(self, earlier: np.ndarray) -> np.ndarray:
         """Which windows, in document order, also start in an earlier document. earlier: by distinct hash, if outside this block."""
         marks = np.zeros(len(self.order), bool)
-        marks[self.order] = earlier[self.run] | (self.doc_of > self.smallest[self.run])
+        marks[self.order] = earlier[self.run] | (self.rank > self.lowest[self.run])
         return marks
 
 
@@ -115,8 +129,9 @@ def _apply(window: int, bits: int):
                 for a in answers or []:
                     at, end = starts[a["bucket"]], starts[a["bucket"] + 1]
                     earlier[at:end] = np.unpackbits(np.frombuffer(a["earlier"], np.uint8), count=end - at).astype(bool)
-                marks, at, out = w.repeated(earlier), 0, []
-                for i, (words, n) in enumerate(zip(w.words, w.counts.tolist(), strict=True)):
+                marks, at, out, size = w.repeated(earlier), 0, [], 0
+                for i, n in enumerate(w.counts.tolist()):
+                    words = (w.texts[i] or b"").split()
                     spans = intervals(marks[at : at + n], window)
                     at += n
                     kept, last = [], 0
@@ -127,8 +142,12 @@ def _apply(window: int, bits: int):
                     text = None if w.texts[i] is None else b" ".join(kept).decode(errors="replace")
                     gone = sum(stop - start for start, stop in spans)
                     out.append({"doc_id": int(w.ids[i]) if w.given[i] else None, "n_words": len(words), "n_removed": gone, "intervals": [{"start": a, "stop": b} for a, b in spans], "text": text})
-                for start in range(0, len(out), 1000):
-                    yield pa.RecordBatch.from_pylist(out[start : start + 1000], schema=_RESULT)
+                    size += len(text or "")
+                    if len(out) == 1000 or size > 1 << 20:
+                        yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
+                        out, size = [], 0
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
 
     return run
 
