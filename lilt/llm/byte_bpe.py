@@ -14,7 +14,7 @@ near-linear time.
 from __future__ import annotations
 
 import base64
-from array import array
+import struct
 from heapq import heappop, heappush
 
 import numpy as np
@@ -26,9 +26,11 @@ from pyspark.sql import types as T
 from lilt.llm.common import Generations, append_columns
 
 #: Entries of a task's younger memos of pre-tokens and of space-led chunks, the longest one remembered, characters of texts at a time.
-MEMO_ENTRIES, MEMO_CHARS, GROUP_CHARS = 100_000, 64, 4 << 20
+MEMO_ENTRIES, MEMO_CHARS, GROUP_CHARS = 100_000, 64, 2 << 20
 #: Fewest bytes for a sweep, bytes of one sweep, mean positions of a bucket at which it ends.
 SWEEP_FROM, SWEEP_BYTES, SPARSE = 256, 1 << 20, 4
+#: Symbols whose pairs are looked up, or ids that are decoded, at a time.
+SLICE = 1 << 17
 #: The symbol of a barrier; no rank is as high.
 BARRIER = 65535
 
@@ -79,6 +81,11 @@ _BIT = [1 << n for n in range(256)]
 _NUMBER = {bit: n for n, bit in enumerate(_BIT)}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ByteBPE:
     """Encoder and decoder for a rank file: lines of base64 token and rank, a token's rank being its id."""
 
@@ -167,7 +174,11 @@ class ByteBPE:
         return out
 
     def sweep(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pre-tokens, none empty.
+        """Ids of pre-tokens, none empty."""
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.sweep_packed(pieces)]
+
+    def sweep_packed(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of pre-tokens, none empty.
 
         Taking a whole bucket is the same as taking its positions one by one as long as no merge makes a pair of a lower rank;
         pre-tokens where that happens are done again one by one. The same goes, from the symbols reached so far, for pre-tokens
@@ -177,16 +188,17 @@ class ByteBPE:
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(lengths + 1) - 1
         starts = ends - lengths
-        n, owner = len(text), np.repeat(np.arange(len(pieces)), lengths + 1)
+        n, owner = len(text), np.repeat(np.arange(len(pieces), dtype=np.int32), lengths + 1)
         ids = self.symbols[text]
         ids[ends] = BARRIER
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         wanted = np.full(n, -1, np.int32)
-        wanted[:-1] = self.rank_of(ids[:-1], ids[1:])
+        for a in range(0, n - 1, SLICE):
+            wanted[a : a + SLICE][: n - 1 - a] = self.rank_of(ids[a : a + SLICE][: n - 1 - a], ids[a + 1 : a + SLICE + 1])
         queue, again, unfinished = self.queue, set(), set()
         dead = np.zeros(n, bool)
         dead[ends] = True
-        first = np.flatnonzero(wanted >= 0)
+        first = np.flatnonzero(wanted >= 0).astype(np.int32)
         if len(first):
             queue.put(wanted[first], first)
         most = 50 * SPARSE
@@ -224,22 +236,22 @@ class ByteBPE:
             at = np.concatenate(bucket)
             unfinished.update(owner[at[wanted[at] == rank]].tolist())
         alive = np.flatnonzero(~dead)
-        symbols, stops = ids[alive].tolist(), np.cumsum(np.bincount(owner[alive], minlength=len(pieces))).tolist()
+        symbols, stops = ids[alive].astype("<u4").tobytes(), np.cumsum(np.bincount(owner[alive], minlength=len(pieces))).tolist()
         out, at = [], 0
         for i, stop in enumerate(stops):
             if i in again:
-                out.append(self.merge([self.of_byte[b] for b in pieces[i]]))
+                out.append(packed(self.merge([self.of_byte[b] for b in pieces[i]])))
             elif i in unfinished:
-                out.append(self.merge(symbols[at:stop]))
+                out.append(packed(self.merge(np.frombuffer(symbols, "<u4", stop - at, 4 * at).tolist())))
             else:
-                out.append(symbols[at:stop])
+                out.append(symbols[4 * at : 4 * stop])
             at = stop
         return out
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of different pre-tokens."""
         raw = [p.encode() for p in pieces]
-        found: list[list[int] | None] = [None if (whole := self.ranks.get(b)) is None else [whole] for b in raw]
+        found: list[bytes | None] = [None if (whole := self.ranks.get(b)) is None else packed([whole]) for b in raw]
         rest = [i for i, ids in enumerate(found) if ids is None]
         at = 0
         while at < len(rest):
@@ -249,15 +261,16 @@ class ByteBPE:
                 stop += 1
             part = rest[at:stop]
             own = [raw[i] for i in part]
-            swept = self.sweep(own) if size >= SWEEP_FROM else [self.merge([self.of_byte[b] for b in x]) for x in own]
+            swept = self.sweep_packed(own) if size >= SWEEP_FROM else [packed(self.merge([self.of_byte[b] for b in x])) for x in own]
             for i, ids in zip(part, swept, strict=True):
                 found[i] = ids
             at = stop
-        return [array("I", ids).tobytes() for ids in found]
+        return found
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for."""
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        get, whole = self.tokens.__getitem__, np.frombuffer(ids, "<u4")
+        return b"".join([b"".join(map(get, whole[a : a + SLICE].tolist())) for a in range(0, len(whole), SLICE)])
 
 
 class TextCodec:
