@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that led to what has been cut.
+
+    It deletes them once the driver's garbage is collected; else those of one step may still lie there in the next ones.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """df, which has that many rows, marked for broadcasting if they are few; beyond that joins shuffle it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

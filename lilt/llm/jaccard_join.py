@@ -11,14 +11,17 @@ Documents with the same set are one set from the start. Then:
 * The boundary is the size up to which enumerating costs less than the lists and verification of a set; light sets
   that may have heavy partners enter the lists as well.
 
-Sets that share lists or subsets are verified together, which only equal hashes of different subsets need, grouped by the
-smallest set of a list: a group is cut into tiles of bounded size, a pair of tiles multiplies its 0/1 matrices and returns only the links of a spanning forest. So neither a list nor a
-group of near copies is ever expanded into pairs of rows, and no link between components is lost.
+Sets that share lists or subsets meet, grouped by the smallest set of a list. Most share no more than a passage, so they
+meet by their sketches first, a byte for about three shingles: counts of hashes in bins, whose differences never add up to
+more than the shingles by which two sets differ. What may be linked after that is verified by all hashes, in groups that
+possible links connect. A group is cut into tiles of bounded size; a pair of tiles compares its sketches, or multiplies its
+0/1 matrices, and returns only the links of a spanning forest. So neither a list nor a group of near copies is ever expanded
+into pairs of rows, and no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb, exp, lgamma, log
 
@@ -28,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lilt.llm import blocks as B
-from lilt.llm.common import WordHashes, bounded_batches, cut, give_back, small, utf8
+from lilt.llm.common import WordHashes, bounded_batches, cut, free_shuffles, give_back, small, utf8
 from lilt.llm.components import components
 
 #: Share of sets that may have more empty parts than there are spare ones; such a set lists its empty parts as well.
 CROWDED = 1e-7
 #: Low bits of a key: it is for two sizes of light sets; its set is the larger one; the sizes are equal.
 LIGHT, LARGER, EQUAL = 1, 2, 4
+#: Shingles for a bin of a sketch, at most; bins at least; shingles of a tile of sketches for one of a tile of hashes.
+BIN_SHINGLES, LEAST_BINS, SKETCH_TILES = 4, 16, 8
 #: Sets and shingles in a tile, keys in a bucket, keys that a task packs together, columns of a matrix and rows of a comparison at a time.
 TILE, TILE_SHINGLES, BUCKET_KEYS, PACK_KEYS, COLUMNS, ROWS = 2048, 600_000, 1_000_000, 500_000, 1024, 256
 
@@ -133,6 +138,17 @@ def set_id(hashes: np.ndarray) -> int:
     return int(B.spread(np.array([a ^ (b << np.uint64(1) | b >> np.uint64(63)) ^ np.uint64(len(hashes))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Counts of a set's hashes in a power of two of bins, a byte each."""
+    bins = LEAST_BINS
+    while bins * BIN_SHINGLES < len(hashes):
+        bins *= 2
+    place = (B.spread(hashes + np.uint64(B.MULTIPLIER)) >> np.uint64(16)).astype(np.int64)
+    while (counts := np.bincount(place & (bins - 1), minlength=bins)).max() > 255:
+        bins *= 2
+    return counts.astype(np.uint8).tobytes()
+
+
 def light_keys(hashes: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
     """Keys of the subsets that a light set shares with any light set linked to it.
 
@@ -172,7 +188,8 @@ def _describe(n: int):
         for batch in batches:
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())], names=["doc_id", "n_shingles", "set_id"])
+            ids, sketches = [set_id(s) if len(s) else None for s in sets], [sketch(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "set_id", "sketch"])
 
     return run
 
@@ -292,9 +309,9 @@ def _load(n: int):
             sets = [shingles(t, n, memo) for t in utf8(batch.column(1))]
             memo.trim()
             ok = [len(s) > 0 and set_id(s) == w for w, s in zip(batch.column(0).to_pylist(), sets, strict=True)]
-            packed = pa.array([s.tobytes() for s, good in zip(sets, ok, strict=True) if good], pa.binary())
+            found = [s for s, good in zip(sets, ok, strict=True) if good]
             kept = batch.filter(pa.array(ok))
-            yield pa.RecordBatch.from_arrays([kept.column(0), packed, kept.column(2)], names=["member", "hashes", "to"])
+            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), kept.column(2)], names=["member", "n", "packed", "to"])
         del memo
         give_back()
 
@@ -304,23 +321,66 @@ def _load(n: int):
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _verify(percent: int):
+def _meet(hits: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]):
+    """For a pair of tiles: a spanning forest of hits(packed sets, their sizes, rows, columns)."""
+
     def links(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         ids, tile = table.column("member").to_pylist(), np.array(table.column("tile").to_pylist())
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
         rows = np.flatnonzero(tile == i)
         cols = rows if i == j else np.flatnonzero(tile == j)
-        n = np.array([len(s) for s in sets], np.int64)
-        both = overlaps(sets, rows, cols)
+        edges = forest(hits(table.column("packed").to_pylist(), np.array(table.column("n").to_pylist(), np.int64), rows, cols), rows, cols)
+        return pa.Table.from_arrays([pa.array([ids[a] for a, _ in edges], pa.int64()), pa.array([ids[b] for _, b in edges], pa.int64())], schema=_LINKS)
+
+    return links
+
+
+def linked(percent: int):
+    def hits(packed: list[bytes], n: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        """Whether the sets at rows are linked with those at cols, by their hashes."""
+        both = overlaps([np.frombuffer(x, np.uint64) for x in packed], rows, cols)
         hit = np.empty(both.shape, bool)
         for at in range(0, len(rows), ROWS):
             part = both[at : at + ROWS].astype(np.int64)
             hit[at : at + ROWS] = 100 * part >= percent * (n[rows[at : at + ROWS]][:, None] + n[cols][None, :] - part)
-        edges = forest(hit, rows, cols)
-        return pa.Table.from_arrays([pa.array([ids[a] for a, _ in edges], pa.int64()), pa.array([ids[b] for _, b in edges], pa.int64())], schema=_LINKS)
+        return hit
 
-    return links
+    return hits
+
+
+def maybe_linked(percent: int):
+    def hits(packed: list[bytes], n: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        """Whether the sets at rows may be linked with those at cols, by their sketches: true wherever linked() is.
+
+        Sets of sizes a and b are linked if they differ in at most a + b - 2 * least overlap shingles, and counts in bins
+        differ by no more than that. The finer of two sketches is folded to the bins of the other.
+        """
+        hit = np.zeros((len(rows), len(cols)), bool)
+        bins = np.array([len(x) for x in packed], np.int64)
+        for of_rows in np.unique(bins[rows]).tolist():
+            xs = np.flatnonzero(bins[rows] == of_rows)
+            for of_cols in np.unique(bins[cols]).tolist():
+                ys = np.flatnonzero(bins[cols] == of_cols)
+                ys = ys[np.argsort(n[cols[ys]], kind="stable")]
+                a, b = n[rows[xs]], n[cols[ys]]
+                start, end = np.searchsorted(100 * b, percent * a), np.searchsorted(percent * b, 100 * a, side="right")
+                if (start < end).any():
+                    width = min(of_rows, of_cols)
+                    left, right = folded([packed[r] for r in rows[xs]], width), folded([packed[c] for c in cols[ys]], width)
+                    for x, s, e in zip(range(len(xs)), start.tolist(), end.tolist(), strict=True):
+                        if s < e:
+                            total = a[x] + b[s:e]
+                            most = total - 2 * -(-percent * total // (100 + percent))
+                            hit[xs[x], ys[s:e]] = np.abs(right[s:e] - left[x]).sum(axis=1, dtype=np.int64) <= most
+        return hit
+
+    return hits
+
+
+def folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of one number of bins, with ``width`` bins."""
+    counts = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1, width)
+    return counts.sum(axis=1, dtype=np.int32 if counts.shape[1] > 64 else np.int16)
 
 
 def overlaps(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -392,6 +452,21 @@ def gathered(members: DataFrame) -> DataFrame:
     return members.join(top, "leader").select(F.col("top").alias("leader"), "member").distinct()
 
 
+def meetings(members: DataFrame, sets: DataFrame, shingles_each: int) -> DataFrame:
+    """(member, n, rep, to): for each member of members (leader, member) the pairs of tiles in which its group needs it."""
+    sized = cut(members.join(sets.withColumnRenamed("set_id", "member"), "member"))
+    tiles = sized.groupBy("leader").agg(F.expr(f"cast(greatest(ceil(count(1) / {TILE}), ceil(sum(n) / {shingles_each})) as int)").alias("tiles"))
+    several = cut(tiles.where("tiles > 1"))
+    dealt = sized.join(small(several, several.count()), "leader", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
+    return dealt.withColumn("to", F.expr("transform(sequence(0, tiles - 1), other -> struct(leader, least(tile, other) AS i, greatest(tile, other) AS j, tile))"))
+
+
+def meet(found: DataFrame, hits: Callable) -> DataFrame:
+    """Links (a, b), by hits, of a spanning forest of every pair of tiles; found: (member, n, packed, to)."""
+    met = found.select("member", "n", "packed", F.explode("to").alias("to")).select("member", "n", "packed", "to.*")
+    return met.groupBy("leader", "i", "j").applyInArrow(_meet(hits), "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents whose shingle sets have Jaccard >= percent / 100.
 
@@ -403,7 +478,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = cut(texts.mapInArrow(_describe(n), "doc_id long, n_shingles long, set_id long"))
+    known = cut(texts.mapInArrow(_describe(n), "doc_id long, n_shingles long, set_id long, sketch binary"))
     named = known.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
     copies = named.groupBy("set_id", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("n"))
     sets = copies.groupBy("set_id").agg(F.min(F.struct("doc_id", "rows")).alias("rep"), F.min("n").alias("n"))
@@ -416,21 +491,21 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     bits = max(0, int(np.ceil(np.log2(max(1.0, expected / BUCKET_KEYS)))))
     keys = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_emit(n, sizes, bits), "bucket long, keys binary, sets binary, owners binary")
     pairs = keys.groupBy("bucket").applyInArrow(_scan(bits), "chunk long, leaders binary, members binary")
-    members = gathered(cut(pairs.groupBy("chunk").applyInArrow(_unite, "leader long, member long")))
-    sized = cut(members.join(sets.withColumnRenamed("set_id", "member"), "member"))
-    tiles = sized.groupBy("leader").agg(F.expr(f"cast(greatest(ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"))
-    several = cut(tiles.where("tiles > 1"))
-    dealt = sized.join(small(several, several.count()), "leader", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("tile", F.expr("cast(pmod(xxhash64(member), tiles) as int)"))
-    meetings = F.expr("transform(sequence(0, tiles - 1), other -> struct(leader, least(tile, other) AS i, greatest(tile, other) AS j, tile))")
-    targets = cut(dealt.groupBy("member", "rep.doc_id", "rep.rows").agg(F.flatten(F.collect_list(meetings)).alias("to")))
+    members = cut(pairs.groupBy("chunk").applyInArrow(_unite, "leader long, member long"))
+    free_shuffles(spark)
+    sketches = named.groupBy(F.col("set_id").alias("member")).agg(F.first("sketch").alias("packed"))
+    near = components(meet(meetings(gathered(members), sets, SKETCH_TILES * TILE_SHINGLES).join(sketches, "member"), maybe_linked(percent)))
+    members = cut(near.select(F.col("root").alias("leader"), F.col("node").alias("member")))
+    free_shuffles(spark)
+    to = meetings(members, sets, TILE_SHINGLES)
+    targets = cut(to.select("member", "rep.doc_id", "rep.rows", "to"))
     n_targets, repeats = targets.agg(F.sum(F.size("to")), F.max("rows")).first()
-    loaded = texts.join(small(targets.drop("rows"), n_targets or 0), "doc_id").select("member", "text", "to").mapInArrow(_load(n), "member long, hashes binary, to array<struct<leader: long, i: int, j: int, tile: int>>")
+    loaded = texts.join(small(targets.drop("rows"), n_targets or 0), "doc_id").select("member", "text", "to").mapInArrow(_load(n), "member long, n long, packed binary, to array<struct<leader: long, i: int, j: int, tile: int>>")
     if (repeats or 0) > 1:  # rows that share an id and a text
         loaded = loaded.dropDuplicates(["member"])
-    met = loaded.select("member", "hashes", F.explode("to").alias("to")).select("member", "hashes", "to.*")
-    found = met.groupBy("leader", "i", "j").applyInArrow(_verify(percent), "a long, b long")
+    stars = components(meet(loaded, linked(percent)))
+    free_shuffles(spark)
 
-    stars = components(found)
     rooted = sets.join(stars, F.col("set_id") == F.col("node"), "left").select("set_id", "rep.doc_id", F.coalesce("root", "set_id").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = rooted.join(lowest, "root").select("set_id", "component_id")

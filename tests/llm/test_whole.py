@@ -18,6 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from lilt.llm import byte_bpe, jaccard_join, language, licenses, line_dedup, mixing, queries, token_files
 from lilt.llm.common import Generations, WordHashes, bounded_batches
 
@@ -268,3 +269,34 @@ def test_files_stand_in_order_of_their_numbers(spark):
     assert [r.file for r in shuffled.orderBy(token_files.file_number(F.col("file")), "file").collect()] == names
     assert token_files.planned_bytes(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")) > 10_000
     assert token_files.planned_bytes(spark.range(3)) < 1000
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sketches_lose_no_link(percent):
+    r = np.random.default_rng(percent)
+    sets = [r.integers(0, 1 << 64, int(size), np.uint64) for size in (1, 2, 9, 40, 63, 64, 65, 130, 500, 3000)]
+    for base in list(sets):
+        for share in (0.02, 0.05, 0.1, 0.2, 0.3):
+            gone = r.random(len(base)) < share
+            sets.append(base[~gone] if share < 0.1 else np.concatenate([base[~gone], r.integers(0, 1 << 64, int(gone.sum()), np.uint64)]))
+    sets = [np.unique(s) for s in sets if len(s)]
+    n, every = np.array([len(s) for s in sets]), np.arange(len(sets))
+    sure = jaccard_join.linked(percent)([s.tobytes() for s in sets], n, every, every)
+    maybe = jaccard_join.maybe_linked(percent)([jaccard_join.sketch(s) for s in sets], n, every, every)
+    assert sure.sum() > len(sets) and not (sure & ~maybe).any()
+    assert maybe.sum() < 0.5 * maybe.size
+
+
+def test_near_copies_shuffle_less_than_the_texts(spark):
+    # sets that share no more than a passage meet in lists, but their texts and hashes don't travel
+    r = random.Random(3)
+    word = lambda: f"{r.randrange(1 << 60):x}"
+    passage = " ".join(word() for _ in range(40))
+    texts = [" ".join(word() for _ in range(30)) + " " + passage for _ in range(2500)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3000, texts[7]), (3001, texts[8] + " end"), (None, texts[9])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    written = lambda: (spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(), spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite())[1]
+    before = written()
+    left = sorted((x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=str)
+    assert left == sorted([*range(2500), None], key=str)
+    assert 0 < written() - before < sum(map(len, texts))
