@@ -356,7 +356,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
         return kernel
 
-    return append_columns(docs, make, [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())], only)
+    fields = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
+    return append_columns(docs, make, fields, only, runs=(text_col, GROUP_CHARS))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, only: list[str] | None = None) -> DataFrame:
@@ -370,7 +371,10 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, only: list[str] |
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", only: list[str] | None = None) -> DataFrame:
-    """encode() and decode() in one pass over the rows: ``token_ids``, ``n_tokens`` and ``decoded``."""
+    """encode() and decode() in one pass over the rows: ``token_ids``, ``n_tokens`` and ``decoded``.
+
+    A task holds ids and decoded bytes of one group of texts at a time, not those of a whole Arrow batch.
+    """
 
     def make():
         bpe = codec(ranks_path, pattern)
@@ -383,4 +387,4 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "
         return kernel
 
     fields = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())]
-    return append_columns(docs, make, fields, only)
+    return append_columns(docs, make, fields, only, runs=(text_col, GROUP_CHARS))

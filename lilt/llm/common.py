@@ -7,7 +7,9 @@ import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +79,7 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, mb: int = 16) -> None
 
 
 def give_back() -> None:
-    """Returns freed memory to the machine at the end of a task: the worker may wait long for its next one, beside others."""
+    """Returns freed memory to the machine: after a task the worker may wait long for its next one, beside others."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
@@ -139,11 +141,23 @@ class WordHashes(dict):
             self.clear()
 
 
-def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], new: list[T.StructField], only: list[str] | None = None) -> DataFrame:
+def runs_of(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of at most ``most`` bytes of a column; a longer value is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = done = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(at, stop - at)
+        at, done = stop, int(ends[stop - 1])
+
+
+def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], new: list[T.StructField], only: list[str] | None = None, runs: tuple[str, int] | None = None) -> DataFrame:
     """docs with the columns that a kernel computes from each Arrow batch.
 
     make_kernel runs once a task; its kernel returns one array for each field of ``new``. Columns of docs named like a
-    new one are replaced. ``only`` limits what passes through (and what the scan reads).
+    new one are replaced. ``only`` limits what passes through (and what the scan reads). With ``runs``, a column and a
+    number of bytes, the kernel gets a batch by runs of so many bytes of that column, each is returned before the next, and
+    freed memory goes back to the machine after each batch.
     """
     bounded_batches(docs.sparkSession)
     names = [f.name for f in new]
@@ -154,8 +168,11 @@ def append_columns(docs: DataFrame, make_kernel: Callable[[], Callable[[pa.Recor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make_kernel()
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + kernel(batch), names=keep + names)
+            for part in runs_of(batch, *runs) if runs else [batch]:
+                if part.num_rows:
+                    yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + kernel(part), names=keep + names)
+            if runs:
+                give_back()
         del kernel
         give_back()
 

@@ -274,6 +274,19 @@ def test_byte_bpe_odd_texts(reference_bpe):
             assert [np.frombuffer(x, "<u4").tolist() for x in texts.encode(some)] == [reference_bpe.encode_ordinary(t) for t in some]
 
 
+def test_byte_bpe_returns_a_group_of_texts_at_a_time(spark, monkeypatch):
+    r, caught = random.Random(8), []
+    texts = [None, "", prose(r, 900), *(prose(r, n) + " é" for n in range(1, 120)), None]
+    docs = spark.createDataFrame([("x",)], "text string")
+    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 1000)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: caught.append(run) or self)
+    byte_bpe.round_trip(docs, BPE, public_tokenizers.PATTERN)
+    out = list(caught[0](iter([pa.RecordBatch.from_pydict({"text": texts}), pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})])))
+    assert [t for b in out for t in b.column("text").to_pylist()] == texts
+    assert [t for b in out for t in b.column("decoded").to_pylist()] == [(t or "").encode() for t in texts]
+    assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column("text").to_pylist()) <= 1000 for b in out)
+
+
 def test_media(docs, texts, empty):
     got = flac.media_column(docs, only=["doc_id", "text"]).collect()
     assert len(got) == len(texts)
