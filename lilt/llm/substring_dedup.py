@@ -26,6 +26,8 @@ from lilt.llm.common import WordHashes, bounded_batches, cut, give_back
 
 #: Distinct hashes a bucket is planned for.
 BUCKET_HASHES = 4_000_000
+#: Bytes of rows after which a task returns them; hashes of a bucket compared at a time.
+RETURN_BYTES, SLICE = 1 << 20, 1 << 17
 RESULT = "doc_id long, n_words long, n_removed long, intervals array<struct<start: long, stop: long>>, text string"
 
 
@@ -61,7 +63,11 @@ class BlockWindows:
         different, rank = np.unique(self.ids, return_inverse=True)
         self.rank = np.repeat(rank.astype(np.int32), self.counts)[self.order]
         self.lowest = self.rank[starts]
-        self.smallest = different[self.lowest]
+        self.different = different
+
+    def smallest(self, at: int, end: int) -> np.ndarray:
+        """The smallest documents of distinct hashes from one place to another."""
+        return self.different[self.lowest[at:end]]
 
     def repeated(self, earlier: np.ndarray) -> np.ndarray:
         """Which windows, in document order, also start in an earlier document. earlier: by distinct hash, if outside this block."""
@@ -77,19 +83,30 @@ def _bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _send(window: int, bits: int):
+    def block_rows(block: int, packed: bytes, memo: WordHashes) -> Iterator[pa.RecordBatch]:
+        w = BlockWindows(packed, window, memo)
+        low = int(w.different[w.lowest.min()]) if len(w.lowest) else 0
+        at, rows, size = 0, [], 0
+        for bucket, end in enumerate(_bounds(w.hashes, bits).tolist()):
+            if end > at:
+                row = (bucket, block, low, B.pack_sorted(w.hashes[at:end]), B.pack_planes((w.smallest(at, end) - low).astype(np.uint64)))
+                rows.append(dict(zip(_SENT.names, row, strict=True)))
+                size += len(row[3]) + len(row[4])
+            at = end
+            if len(rows) == 64 or size > RETURN_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, schema=_SENT)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_SENT)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("docs"), strict=True):
-                w = BlockWindows(packed.as_py(), window, memo)
-                low = int(w.smallest.min()) if len(w.smallest) else 0
-                at, rows = 0, []
-                for bucket, end in enumerate(_bounds(w.hashes, bits).tolist()):
-                    if end > at:
-                        rows.append((bucket, block, low, B.pack_sorted(w.hashes[at:end]), B.pack_planes((w.smallest[at:end] - low).astype(np.uint64))))
-                    at = end
-                for start in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "block", "low", "hashes", "docs"), r, strict=True)) for r in rows[start : start + 64]], schema=_SENT)
+                yield from block_rows(block, packed.as_py(), memo)  # one block's arrays are gone before the next one's are made
+                give_back()
+        memo.clear()
+        give_back()
 
     return run
 
@@ -100,54 +117,77 @@ _ANSWER = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("earlier",
 
 def _count(table: pa.Table) -> pa.Table:
     """For one bucket: which hashes of each block start in a smaller document of another block."""
-    rows = table.to_pylist()
-    hashes = [B.unpack_sorted(r["hashes"]) for r in rows]
-    docs = [B.unpack_planes(r["docs"]).astype(np.int64) + r["low"] for r in rows]
-    every, smallest = np.concatenate(hashes), np.concatenate(docs)
-    order = np.argsort(every, kind="stable")
+    blocks, lows = table.column("block").to_pylist(), table.column("low").to_pylist()
+    every = [B.unpack_sorted(packed.as_buffer()) for packed in table.column("hashes")]
+    lengths = [len(h) for h in every]
+    every = np.concatenate(every)
+    order = np.argsort(every, kind="stable").astype(np.int32 if len(every) < 1 << 31 else np.int64)
     ranked = every[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    lowest = np.minimum.reduceat(smallest[order], first)
-    earlier = np.zeros(len(every), bool)
-    earlier[order] = smallest[order] > np.repeat(lowest, np.diff(np.append(first, len(every))))
+    del every
+    first = np.ones(len(ranked), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=first[1:])
+    del ranked
+    run, first = np.cumsum(first, dtype=order.dtype), np.flatnonzero(first)
+    run -= 1
+    smallest = np.empty(len(order), np.int64)
+    at = 0
+    for low, n, packed in zip(lows, lengths, table.column("docs"), strict=True):
+        np.add(B.unpack_planes(packed.as_buffer()).astype(np.int64), low, out=smallest[at : at + n])
+        at += n
+    smallest = smallest[order]
+    lowest = np.minimum.reduceat(smallest, first)
+    del first
+    earlier = np.zeros(len(order), bool)
+    for a in range(0, len(order), SLICE):
+        earlier[order[a : a + SLICE]] = smallest[a : a + SLICE] > lowest[run[a : a + SLICE]]
+    del order, run, smallest, lowest
     out, at = [], 0
-    for r, h in zip(rows, hashes, strict=True):
-        bits = earlier[at : at + len(h)]
-        at += len(h)
+    for block, bucket, n in zip(blocks, table.column("bucket").to_pylist(), lengths, strict=True):
+        bits = earlier[at : at + n]
+        at += n
         if bits.any():
-            out.append({"block": r["block"], "bucket": r["bucket"], "earlier": np.packbits(bits).tobytes()})
+            out.append({"block": block, "bucket": bucket, "earlier": np.packbits(bits).tobytes()})
+    give_back()
     return pa.Table.from_pylist(out, schema=_ANSWER)
 
 
 def _apply(window: int, bits: int):
+    def block_rows(packed: bytes, answers: list[dict], memo: WordHashes) -> Iterator[pa.RecordBatch]:
+        w = BlockWindows(packed, window, memo)
+        earlier, starts = np.zeros(len(w.hashes), bool), np.concatenate([[0], _bounds(w.hashes, bits)])
+        for a in answers:
+            at, end = starts[a["bucket"]], starts[a["bucket"] + 1]
+            earlier[at:end] = np.unpackbits(np.frombuffer(a["earlier"], np.uint8), count=end - at).astype(bool)
+        marks, ids, given, texts, counts = w.repeated(earlier), w.ids, w.given, w.texts, w.counts.tolist()
+        del w, earlier
+        at, out, size = 0, [], 0
+        for i, n in enumerate(counts):
+            words = (texts[i] or b"").split()
+            spans = intervals(marks[at : at + n], window)
+            at += n
+            kept, last = [], 0
+            for start, stop in spans:
+                kept += words[last:start]
+                last = stop
+            kept += words[last:]
+            text = None if texts[i] is None else b" ".join(kept).decode(errors="replace")
+            gone = sum(stop - start for start, stop in spans)
+            out.append({"doc_id": int(ids[i]) if given[i] else None, "n_words": len(words), "n_removed": gone, "intervals": [{"start": a, "stop": b} for a, b in spans], "text": text})
+            size += len(text or "")
+            if len(out) == 1000 or size > RETURN_BYTES:
+                yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            for packed, answers in zip(batch.column("docs"), batch.column("answers").to_pylist(), strict=True):
-                w = BlockWindows(packed.as_py(), window, memo)
-                earlier, starts = np.zeros(len(w.hashes), bool), np.concatenate([[0], _bounds(w.hashes, bits)])
-                for a in answers or []:
-                    at, end = starts[a["bucket"]], starts[a["bucket"] + 1]
-                    earlier[at:end] = np.unpackbits(np.frombuffer(a["earlier"], np.uint8), count=end - at).astype(bool)
-                marks, at, out, size = w.repeated(earlier), 0, [], 0
-                for i, n in enumerate(w.counts.tolist()):
-                    words = (w.texts[i] or b"").split()
-                    spans = intervals(marks[at : at + n], window)
-                    at += n
-                    kept, last = [], 0
-                    for start, stop in spans:
-                        kept += words[last:start]
-                        last = stop
-                    kept += words[last:]
-                    text = None if w.texts[i] is None else b" ".join(kept).decode(errors="replace")
-                    gone = sum(stop - start for start, stop in spans)
-                    out.append({"doc_id": int(w.ids[i]) if w.given[i] else None, "n_words": len(words), "n_removed": gone, "intervals": [{"start": a, "stop": b} for a, b in spans], "text": text})
-                    size += len(text or "")
-                    if len(out) == 1000 or size > 1 << 20:
-                        yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
-                        out, size = [], 0
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
+            for packed, answers in zip(batch.column("docs"), batch.column("answers"), strict=True):
+                yield from block_rows(packed.as_py(), answers.as_py() or [], memo)
+                give_back()
+        memo.clear()
+        give_back()
 
     return run
 
@@ -178,7 +218,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     blocks = cut(B.make_blocks(docs, id_col, text_col))
     words = (blocks.agg(F.sum("n_bytes")).first()[0] or 0) / 6
     bits = max(0, int(np.ceil(np.log2(max(1.0, words / BUCKET_HASHES)))))
-    bounded_batches(spark)
+    bounded_batches(spark, mb=4)  # one or two blocks
     sent = blocks.select("block", "docs").mapInArrow(_send(window, bits), "bucket long, block long, low long, hashes binary, docs binary")
     answers = sent.groupBy("bucket").applyInArrow(_count, "block long, bucket long, earlier binary")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "earlier")).alias("answers"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -15,7 +17,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from lilt.llm import byte_bpe, flac, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files, topk_search
+from lilt.llm import blocks, byte_bpe, flac, jaccard_join, language, licenses, line_dedup, mixing, substring_dedup, token_files, topk_search
 
 BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +94,42 @@ def test_substring_buckets_agree(docs, monkeypatch):
     assert {(r.doc_id, r.text) for r in substring_dedup.dedup_substrings(docs).collect()} == one
 
 
+def test_substring_tasks_hold_one_block_and_few_copies(docs, monkeypatch):
+    alive, most = weakref.WeakSet(), []
+
+    class Watched(substring_dedup.BlockWindows):
+        def __init__(self, *a):
+            super().__init__(*a)
+            alive.add(self)
+            most.append(len(alive))
+
+    monkeypatch.setattr(substring_dedup, "BlockWindows", Watched)
+    rows = blocks.make_blocks(docs, block_docs=4).select("block", "docs").collect()
+    batch = pa.RecordBatch.from_pylist([{"block": r.block, "docs": bytes(r.docs), "answers": []} for r in rows], schema=pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("answers", pa.list_(pa.struct([("bucket", pa.int64()), ("earlier", pa.binary())])))]))
+    sent = list(substring_dedup._send(13, 2)(iter([batch])))
+    assert sum(b.num_rows for b in substring_dedup._apply(13, 2)(iter([batch]))) == docs.count()
+    assert len(rows) > 2 and sent and most == [1] * (2 * len(rows))
+
+    r, n = np.random.default_rng(4), 30_000
+    lists = [(np.unique(r.integers(0, 1 << 19, n, dtype=np.uint64)), 1000 * k) for k in range(10)]
+    owners = [r.integers(0, 3000, len(h)).astype(np.uint64) for h, _ in lists]
+    table = pa.Table.from_pylist([{"bucket": 0, "block": k, "low": low, "hashes": blocks.pack_sorted(h), "docs": blocks.pack_planes(d)} for k, ((h, low), d) in enumerate(zip(lists, owners, strict=True))], schema=substring_dedup._SENT)
+    total = sum(len(h) for h, _ in lists)
+    tracemalloc.start()
+    got = substring_dedup._count(table).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * total
+    first: dict[int, int] = {}
+    for (h, low), d in zip(lists, owners, strict=True):
+        for x, i in zip(h.tolist(), d.tolist(), strict=True):
+            first[x] = min(first.get(x, i + low), i + low)
+    for row in got:
+        (h, low), d = lists[row["block"]], owners[row["block"]]
+        bits = np.unpackbits(np.frombuffer(row["earlier"], np.uint8), count=len(h)).astype(bool)
+        assert bits.tolist() == [first[x] < i + low for x, i in zip(h.tolist(), d.tolist(), strict=True)]
+
+
 def test_mixing(spark, docs, texts, empty):
     got = mixing.mix(docs).select("doc_id", "source", "mix.*").collect()
     assert len(got) == len(texts)
