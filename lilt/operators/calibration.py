@@ -1,8 +1,8 @@
 """Percentile calibration: cut points of each group with a pooled fallback, and three-way labels.
 
-Cuts are exact percentiles with linear interpolation. One pass over the records makes both tiers: grouping sets share the
-scan and the partial aggregates, and the exchange carries one value-count map per group and task. Measures are rounded
-when they are produced, so the number of different values of a group, hence its map, doesn't grow with its rows.
+Cuts are exact percentiles with linear interpolation. Both tiers are fitted in the same passes over the records, which carry
+counts alone, so a group or a pool may hold all records. Labelling broadcasts the cuts once they are counted: dealt by group,
+the records of a few groups would go to as few tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lilt import schema as S
 from lilt.functions.scalar import group_key, three_way
+from lilt.operators.quantiles import once, percentiles as exact_percentiles, small
 
 
 def long_form(records: DataFrame, group_field: str | None = "dataset", features: Sequence[S.Feature] = S.FEATURES) -> DataFrame:
@@ -31,29 +32,27 @@ def fit(records: DataFrame, group_field: str | None = "dataset", percentiles: Se
     """(feature, tier, ds, g, n, cuts): tier "group" has every group, cuts null below min_group; tier "pooled" only large ones."""
     if len(percentiles) != 2 or not 0 <= percentiles[0] < percentiles[1] <= 100:
         raise ValueError("two ascending percentiles are needed")
-    sets = long_form(records, group_field, features).groupingSets([["feature", "g", "ds"], ["feature", "g"]], "feature", "g", "ds")
-    fitted = sets.agg(
-        F.grouping_id().alias("gid"),
-        F.count(F.lit(1)).alias("n"),
-        F.percentile("v", F.array(*[F.lit(q / 100) for q in percentiles])).alias("c"),
-    )
-    tier = F.when(F.col("gid") == 0, "group").otherwise("pooled")
-    cuts = F.when(F.col("n") >= min_group, F.transform("c", lambda x: F.round(x, 4)))
-    return fitted.select("feature", tier.alias("tier"), "ds", "g", "n", cuts.alias("cuts")).where((F.col("tier") == "group") | F.col("cuts").isNotNull())
+    rows = long_form(records, group_field, features).withColumn("g", F.coalesce("g", F.lit("")))
+    fitted = exact_percentiles(rows, ["feature", "ds", "g"], "v", [q / 100 for q in percentiles], min_group, ["feature", "g"])
+    tier, cuts = F.when(F.col("pool"), "pooled").otherwise("group"), F.transform("cuts", lambda x: F.round(x, 4))
+    fitted = fitted.select("feature", tier.alias("tier"), "ds", F.nullif("g", F.lit("")).alias("g"), "n", cuts.alias("cuts"))
+    return once(fitted.where((F.col("tier") == "group") | F.col("cuts").isNotNull()))
 
 
 def look_up(records: DataFrame, thresholds: DataFrame, group_field: str | None = "dataset", features: Sequence[S.Feature] = S.FEATURES) -> DataFrame:
     """records with <measure>_cuts: the group's cuts, else the pooled ones, else null.
 
-    Two left joins a feature on normalised keys; thresholds are small in practice, and adaptive execution broadcasts them
-    only after it has seen their size.
+    Two left joins a feature on normalised keys. Only groups with cuts count, and they are broadcast if they are few, so
+    the records aren't dealt by group.
     """
     out = records.withColumn("_ds", group_key(F.col(group_field), S.ALL) if group_field and group_field in records.columns else F.lit(S.ALL))
+    fitted = thresholds.where(F.col("cuts").isNotNull())
+    sizes = {(r["feature"], r["tier"]): r["count"] for r in fitted.groupBy("feature", "tier").count().collect()}
     for f in features:
-        own = thresholds.where(F.col("feature") == f.measure).withColumn("_g", F.coalesce("g", F.lit("")))
+        own = fitted.where(F.col("feature") == f.measure).withColumn("_g", F.coalesce("g", F.lit("")))
         g = group_key(F.col(f.extra), S.UNKNOWN) if f.extra and f.extra in records.columns else F.lit(S.UNKNOWN if f.extra else "")
-        group = own.where("tier = 'group'").select(F.col("ds").alias("_ds"), "_g", F.col("cuts").alias("_group"))
-        pooled = own.where("tier = 'pooled'").select("_g", F.col("cuts").alias("_pooled"))
+        group = small(own.where("tier = 'group'").select(F.col("ds").alias("_ds"), "_g", F.col("cuts").alias("_group")), sizes.get((f.measure, "group"), 0))
+        pooled = small(own.where("tier = 'pooled'").select("_g", F.col("cuts").alias("_pooled")), sizes.get((f.measure, "pooled"), 0))
         out = out.withColumn("_g", g).join(group, ["_ds", "_g"], "left").join(pooled, "_g", "left")
         out = out.withColumn(f"{f.measure}_cuts", F.coalesce("_group", "_pooled")).drop("_g", "_group", "_pooled")
     return out.drop("_ds")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lilt import schema as S
 from lilt.functions.scalar import failure_reason
+from lilt.operators.quantiles import percentiles
 
 NONE = "None"
 
@@ -23,16 +24,15 @@ def label_counts(records: DataFrame, fields: Sequence[str] = S.REPORT_FIELDS) ->
 def range_spread(records: DataFrame, digits: int = 2) -> DataFrame:
     """(p5, p25, p50, p75, p95) of f0_range_st; no row without a value."""
     steps = (5, 25, 50, 75, 95)
-    got = records.agg(F.count("f0_range_st").alias("n"), F.percentile("f0_range_st", F.array(*[F.lit(q / 100) for q in steps])).alias("p")).where("n > 0")
-    return got.select(*[F.round(F.col("p")[i], digits).alias(f"p{q}") for i, q in enumerate(steps)])
+    got = percentiles(records.select(F.lit(True).alias("all"), "f0_range_st"), ["all"], "f0_range_st", [q / 100 for q in steps]).where("n > 0")
+    return got.select(*[F.round(F.col("cuts")[i], digits).alias(f"p{q}") for i, q in enumerate(steps)])
 
 
 def f0_by_gender(records: DataFrame, digits: int = 1) -> DataFrame:
     """(gender, n, p10, median, p90) of f0_median_hz; genders without a value are left out."""
-    got = records.groupBy(F.coalesce(F.col("gender").cast("string"), F.lit(NONE)).alias("gender")).agg(
-        F.count("f0_median_hz").alias("n"), F.percentile("f0_median_hz", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("p")
-    )
-    return got.where("n > 0").select("gender", "n", *[F.round(F.col("p")[i], digits).alias(c) for i, c in enumerate(("p10", "median", "p90"))])
+    rows = records.select(F.coalesce(F.col("gender").cast("string"), F.lit(NONE)).alias("gender"), "f0_median_hz")
+    got = percentiles(rows, ["gender"], "f0_median_hz", [0.1, 0.5, 0.9]).where("n > 0")
+    return got.select("gender", "n", *[F.round(F.col("cuts")[i], digits).alias(c) for i, c in enumerate(("p10", "median", "p90"))])
 
 
 def totals(records: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lilt import fixture_views as V
 from lilt import schema as S
 from lilt.functions import scalar
-from lilt.operators import augment, calibration, contour, frames, kernels, report
+from lilt.operators import augment, calibration, contour, frames, kernels, quantiles, report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,8 +58,8 @@ def calib_label_lineitem(spark, sf_dir):
 @query
 def percentile_linear(spark, sf_dir):
     steps = (5, 25, 50, 75, 95)
-    got = V.utterances(spark, sf_dir).groupBy("dataset").agg(F.percentile("f0_median_hz", F.array(*[F.lit(q / 100) for q in steps])).alias("p"))
-    return got.select("dataset", *[F.round(F.col("p")[i], 6).alias(f"p{q}") for i, q in enumerate(steps)])
+    got = quantiles.percentiles(V.utterances(spark, sf_dir), ["dataset"], "f0_median_hz", [q / 100 for q in steps])
+    return got.select("dataset", *[F.round(F.col("cuts")[i], 6).alias(f"p{q}") for i, q in enumerate(steps)])
 
 
 @query
